@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import basename
@@ -13,16 +13,21 @@ RECEIPT = (
 )
 
 
+def inventory(rows: DataFrame, path: Column, content: str) -> DataFrame:
+    """Path, size, SHA-256 and MD5 of each row's content."""
+    return rows.select(
+        path.alias("path"),
+        F.octet_length(content).cast("bigint").alias("bytes"),
+        F.sha2(F.col(content).cast("binary"), 256).alias("sha256"),
+        F.md5(F.col(content).cast("binary")).alias("md5"),
+    )
+
+
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Relative path, size, SHA-256 and MD5 of every file below a folder."""
+    """Inventory of every file below a folder; each file is one row, so below 2 GB."""
     base = root.rstrip("/") + "/"
     scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return scan.select(
-        F.substring_index("path", base, -1).alias("path"),
-        F.col("length").alias("bytes"),
-        F.sha2("content", 256).alias("sha256"),
-        F.md5("content").alias("md5"),
-    )
+    return inventory(scan, F.substring_index("path", base, -1), "content")
 
 
 def read_receipts(spark: SparkSession, path: str) -> DataFrame:

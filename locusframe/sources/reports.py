@@ -206,3 +206,12 @@ def parse_index_counts(lines: DataFrame) -> DataFrame:
     )
 
 
+
+
+def parse_samplesheet(lines: DataFrame, columns: list[str]) -> DataFrame:
+    """Comma-separated samplesheet lines (header excluded) with a closed column list."""
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    wide = F.size(F.split("value", ",", -1)) != len(columns)
+    return lines.select("source", "line_no", F.from_csv("value", schema).alias("r"), F.when(wide, "column_count").alias("violation")).select(
+        "source", "line_no", "r.*", "violation"
+    )
