@@ -447,7 +447,7 @@ def record_numbers(t):
 
 
 @query("s21_depth_rows", """
-SELECT 'chr' || (l_suppkey % 22 + 1) AS contig, CASE WHEN l_partkey % 71 <> 0 THEN l_orderkey + 1 END AS pos,
+SELECT 'chr' || (l_suppkey % 22 + 1) AS contig, CASE WHEN l_partkey % 71 <> 0 THEN CAST(l_orderkey + 1 AS DOUBLE) END AS pos,
        CAST(l_quantity AS BIGINT) AS depth, count(*) AS n, CASE WHEN l_partkey % 71 = 0 THEN 'malformed' END AS violation
 FROM lineitem GROUP BY ALL
 """)
@@ -457,7 +457,7 @@ def depth_rows(t):
         F.when(F.col("l_partkey") % 71 == 0, "-1").otherwise((F.col("l_orderkey") + 1).cast("string")), F.col("l_quantity").cast("bigint"),
     )
     rows = reports.parse_depth(as_lines(t.read("lineitem"), text, F.col("l_orderkey"), "depth.tsv"))
-    return rows.groupBy("contig", "pos", "depth", "violation").agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy("contig", F.col("pos").cast("double").alias("pos"), "depth", "violation").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("s22_index_counts", """
