@@ -386,7 +386,7 @@ WHERE flag & 3332 = 0 AND NOT EXISTS (SELECT 1 FROM known WHERE known.contig = b
 
 
 def _observations(t):
-    return recalibration.base_observations(t.alignments, masked_chunks(t.chunks, _known(t)))
+    return recalibration.base_observations(t.alignments, masked_chunks(t.chunks, _known(t)), max_span=512)
 
 
 def _known(t):
@@ -415,7 +415,7 @@ def read_preparation(t):
     """Lanes to analysis-ready reads: counts after union, duplicate marking and recalibration."""
     single = t.alignments.withColumn("qname", F.col("rid"))
     lanes = [single.filter(F.col("library") == x) for x in ("A", "N", "R")]
-    ready = coverage.prepare_reads(lanes, t.chunks, _known(t))
+    ready = coverage.prepare_reads(lanes, t.chunks, _known(t), max_span=512)
     changed = F.count_if(F.col("qual") != F.col("oq")).alias("changed_qualities")
     return ready.groupBy("read_group").agg(
         F.count(F.lit(1)).alias("reads"), F.count_if(rd.has(rd.DUPLICATE)).alias("duplicates"), changed

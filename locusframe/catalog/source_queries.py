@@ -182,7 +182,7 @@ SELECT rid, substr(r.bases, CAST(l."start" - r."start" + 1 AS INTEGER), l.q) AS
 """)
 def sequence_slices(t):
     sites = t.lines.select("rid", "contig", "start", (F.col("start") + F.col("q")).alias("end"))
-    return fasta.windows(sites, t.chunks, "rid").select("rid", "window")
+    return fasta.windows(sites, t.chunks, "rid", max_span=50).select("rid", "window")
 
 
 view("gtfsrc", """

@@ -28,14 +28,16 @@ def salted_join(
     keys: list[str],
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join (inner, left or left_semi) of a side that may repeat a key a huge number of times.
 
     Rows of a hot key on the large side are spread over salts by a hash of the row; the matching
     rows of the small side are repeated once per salt. Keys that are not hot get salt 0 on both
-    sides, so nothing else is duplicated and no row is dropped.
+    sides, so nothing else is duplicated and no row is dropped. Pass ``hot`` when the hot keys were
+    already counted on a cheaper projection of the same rows.
     """
-    hot = F.broadcast(hot_keys(large, keys, hot_rows))
+    hot = F.broadcast(hot_keys(large, keys, hot_rows) if hot is None else hot)
     spread = F.coalesce(F.pmod(F.xxhash64(*[F.col(c) for c, t in large.dtypes if "map<" not in t]), F.col("_salts")), F.lit(0))
     left = large.join(hot, keys, "left").withColumn(SALT, spread).drop("_salts")
     last = F.coalesce(F.col("_salts"), F.lit(1)) - 1

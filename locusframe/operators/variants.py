@@ -7,13 +7,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.genotype import alt_copies, exclusion_reason, split_genotype
+from ..functions.genotype import allele_multiset, alt_copies, exclusion_reason, split_genotype
 from ..session import reliable_checkpoint
 from ..sources.fasta import CHUNK, windows
+from .intervals import overlap_pairs
 from .ordered import Running, running
+from .rules import Rule
 
 
 def reference_mismatches(variants: DataFrame, chunk_table: DataFrame, row_id: str, size: int = CHUNK) -> DataFrame:
@@ -104,7 +106,7 @@ def left_align(variants: DataFrame, chunk_table: DataFrame, row_id: str, lookbac
     work, reach = trimmed.filter("_core is not null"), lookback
     while True:
         placed = work.withColumns({"start": F.col("_start") - reach, "end": F.col("_start")})
-        seen = windows(placed, chunk_table, row_id, size)
+        seen = windows(placed, chunk_table, row_id, size, max_span=reach if reach <= size else None)
         text = F.concat(F.upper("window"), F.col("_core"))
         m = F.length("_core")
         # One base must stay as the anchor, so the shift may use all but the first window base.
@@ -121,12 +123,17 @@ def left_align(variants: DataFrame, chunk_table: DataFrame, row_id: str, lookbac
         anchor = F.substring(F.col("_text"), F.length("window") - F.col("_k"), F.lit(1))
         rotated = F.substring(F.col("_text"), F.length("window") - F.col("_k") + 1, F.length("_core"))
         deletion = F.length("_r") > F.length("_a")
+        # At the very start of a contig there is no base to the left; the base after the event anchors it.
+        first_base = F.col("window") == ""
+        after = F.substring("ref", F.length("_r") + 1, F.lit(1))
+        event = F.when(first_base, F.concat("_core", after)).otherwise(F.concat(anchor, rotated))
+        bare = F.when(first_base, after).otherwise(anchor)
         results.append(
             done.select(
                 *[c for c in columns if c not in ("pos", "ref", "alt")],
-                (F.col("_start") - F.col("_k")).alias("pos"),
-                F.when(deletion, F.concat(anchor, rotated)).otherwise(anchor).alias("ref"),
-                F.when(deletion, anchor).otherwise(F.concat(anchor, rotated)).alias("alt"),
+                F.when(first_base, F.lit(1)).otherwise(F.col("_start") - F.col("_k")).alias("pos"),
+                F.when(deletion, event).otherwise(bare).alias("ref"),
+                F.when(deletion, bare).otherwise(event).alias("alt"),
             ).select(*columns)
         )
         rest = moved.filter(full).select(*work.columns)
@@ -182,8 +189,6 @@ def site_oracle(records: DataFrame, sites: DataFrame) -> DataFrame:
 
     ``sites``: ``site_id, contig, pos, wanted`` (sorted alleles). Anything but one is a failure.
     """
-    from ..functions.genotype import allele_multiset
-
     carried = records.filter(F.col("filter").isin("PASS", ".")).select(
         "contig", "pos", allele_multiset(F.col("gt"), F.col("ref"), F.col("alts")).alias("carried")
     )
@@ -200,17 +205,7 @@ def bounded_diagnostics(records: DataFrame, sites: DataFrame, row_id: str, rows:
     The total is a plain count; the shown rows come from a rank inside ``(site, bucket)`` first and
     then inside the site, so a site that very many records overlap is never sorted in one task.
     """
-    from pyspark.sql import Window
-
-    from .intervals import overlap_pairs
-
-    spans = records.withColumns({"start": F.col("pos") - 1})
-    points = sites.select("site_id", "contig", F.col("pos").alias("_p")).select(
-        "site_id", "contig", (F.col("_p") - 1).alias("start"), F.col("_p").alias("end")
-    )
-    pairs = overlap_pairs(spans, points, row_id, "site_id").select(
-        F.col("left_id").alias(row_id), F.col("right_id").alias("site_id")
-    )
+    pairs = overlapping_records(records, sites, row_id)
     totals = pairs.groupBy("site_id").agg(F.count(F.lit(1)).alias("overlapping"))
     bucket = F.pmod(F.xxhash64(row_id), F.lit(64))
     local = Window.partitionBy("site_id", "_b").orderBy(row_id)
@@ -226,6 +221,26 @@ def bounded_diagnostics(records: DataFrame, sites: DataFrame, row_id: str, rows:
     return shown.join(totals, "site_id").withColumn("truncated", F.col("overlapping") > rows)
 
 
+def candidate_rules() -> list[Rule]:
+    """Rules of a candidate ``start, end, ref, alts`` (0-based half-open span)."""
+    return [
+        Rule("span", ~((F.col("start") >= 0) & (F.col("end") - F.col("start") == F.length("ref")))),
+        Rule("ref_alphabet", ~F.col("ref").rlike("^[ACGTN]+$")),
+        Rule("no_alt", F.size("alts") == 0),
+        Rule("alt_alphabet", F.exists("alts", lambda a: ~a.rlike("^[ACGTN]+$") | (a == F.col("ref")))),
+        Rule("alt_repeated", F.size(F.array_distinct("alts")) != F.size("alts")),
+    ]
+
+
+def overlapping_records(records: DataFrame, sites: DataFrame, row_id: str) -> DataFrame:
+    """Records whose 1-based closed ``[pos, end]`` covers a site: ``(site_id, row_id)``."""
+    points = sites.select("site_id", "contig", (F.col("pos") - 1).alias("start"), F.col("pos").alias("end"))
+    spans = records.withColumn("start", F.col("pos") - 1)
+    return overlap_pairs(spans, points, row_id, "site_id").select(
+        F.col("right_id").alias("site_id"), F.col("left_id").alias(row_id)
+    )
+
+
 def missing_candidates(inferred: DataFrame, generated: DataFrame, key: list[str]) -> DataFrame:
     """Inference rows whose candidate was never generated."""
     return inferred.join(generated.select(*key), key, "left_anti")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordered import Running, running
-from ..operators.skew import salted_join
+from ..operators.skew import hot_keys, salted_join
 
 CHUNK = 512
 
@@ -98,36 +98,55 @@ def chunks(sequence: DataFrame, size: int = CHUNK) -> DataFrame:
 
 
 def windows(
-    sites: DataFrame, chunk_table: DataFrame, row_id: str, size: int = CHUNK, piled: bool = False
+    sites: DataFrame,
+    chunk_table: DataFrame,
+    row_id: str,
+    size: int = CHUNK,
+    piled: bool = False,
+    max_span: int | None = None,
 ) -> DataFrame:
     """Add ``window``: the reference bases of ``[start, end)`` of every site (clipped to the contig).
 
-    A site inside one chunk needs one equi-join; only sites that cross a chunk edge are regrouped, by
-    their unique ``row_id``. Set ``piled`` when many rows may share a chunk (reads), to salt the join.
+    Each chunk is joined with the text of the chunk after it appended, so a site of at most ``size``
+    bases needs one equi-join wherever it lies. Longer sites are stitched by their unique ``row_id``;
+    a caller that knows its sites are short says so with ``max_span`` and gets the one-join plan (a
+    longer site then fails the job rather than losing bases). Set ``piled`` when very many rows may
+    share a chunk (reads): chunks with too many rows are salted.
     """
     low = F.greatest(F.col("start"), F.lit(0))
-    ranged = sites.withColumns(
-        {"_first": F.floor(low / size), "_last": F.greatest(F.floor(low / size), F.floor((F.col("end") - 1) / size))}
+    ranged = sites.withColumn("chunk_id", F.floor(low / size))
+    short = F.col("end") - low <= size
+    after = chunk_table.select("contig", (F.col("chunk_id") - 1).alias("chunk_id"), F.col("bases").alias("_next"))
+    long_text = chunk_table.join(after, ["contig", "chunk_id"], "left").select(
+        "contig", "chunk_id", "chunk_start", F.concat("bases", F.coalesce("_next", F.lit(""))).alias("bases")
     )
-    offset = F.greatest(low - F.col("chunk_start"), F.lit(0)).cast("int")
-    stop = F.least(F.col("end") - F.col("chunk_start"), F.lit(size)).cast("int")
-    part = F.substring("bases", offset + 1, F.greatest(stop - offset, F.lit(0)))
+    hot = hot_keys(ranged.select("contig", "chunk_id"), ["contig", "chunk_id"]) if piled else None
 
-    def joined(side: DataFrame) -> DataFrame:
+    def joined(side: DataFrame, text: DataFrame) -> DataFrame:
         if piled:
-            return salted_join(side, chunk_table, ["contig", "chunk_id"])
-        return side.join(chunk_table, ["contig", "chunk_id"])
-
-    inner = joined(ranged.filter("_first = _last").withColumn("chunk_id", F.col("_first")))
-    single = inner.select(*sites.columns, part.alias("window"))
-    crossing = ranged.filter("_first < _last")
+            return salted_join(side, text, ["contig", "chunk_id"], hot=hot)
+        return side.join(text, ["contig", "chunk_id"])
+
+    offset = (low - F.col("chunk_start")).cast("int")
+    length = F.greatest(F.col("end") - low, F.lit(0)).cast("int")
+    cut = F.substring("bases", offset + 1, length)
+    if max_span is not None and max_span <= size:
+        told = F.when(short, cut).otherwise(F.raise_error(F.lit("a site is longer than max_span")))
+        return joined(ranged, long_text).select(*sites.columns, told.alias("window"))
+
+    single = joined(ranged.filter(short), long_text).select(*sites.columns, cut.alias("window"))
+    crossing = ranged.filter(~short).drop("chunk_id")
+    last = F.floor((F.col("end") - 1) / size)
     spread = crossing.select(
-        row_id, "contig", "start", "end", F.explode(F.sequence("_first", "_last")).alias("chunk_id")
+        row_id, "contig", "start", "end", F.explode(F.sequence(F.floor(low / size), last)).alias("chunk_id")
     )
+    begin = F.greatest(low - F.col("chunk_start"), F.lit(0)).cast("int")
+    stop = F.least(F.col("end") - F.col("chunk_start"), F.lit(size)).cast("int")
+    part = F.substring("bases", begin + 1, F.greatest(stop - begin, F.lit(0)))
     text = F.array_join(
         F.transform(F.array_sort(F.collect_list(F.struct("chunk_id", part.alias("b")))), lambda p: p["b"]), ""
     )
-    stitched = joined(spread).groupBy(row_id).agg(text.alias("window"))
+    stitched = joined(spread, chunk_table).groupBy(row_id).agg(text.alias("window"))
     multi = crossing.join(stitched, row_id).select(*sites.columns, "window")
     return single.unionByName(multi)
 
