@@ -224,8 +224,7 @@ WHERE NOT list_contains(string_split_regex(gt, '[/|]'), '.') AND len(string_spli
 
 
 def _good(t):
-    bad = variants.reference_mismatches(t.variants, t.chunks, "row_id").select("row_id")
-    return t.variants.join(bad, "row_id", "left_anti")
+    return variants.check_reference(t.variants, t.chunks, "row_id").filter("ref_ok").drop("ref_ok")
 
 
 @query("sc08_left_alignment", "SELECT row_id, contig, pos, ref, alt FROM valigned WHERE length(ref) <> length(alt)")

@@ -18,12 +18,17 @@ from .ordered import Running, running
 from .rules import Rule
 
 
+def check_reference(variants: DataFrame, chunk_table: DataFrame, row_id: str, size: int = CHUNK) -> DataFrame:
+    """Add ``ref_ok``: REF is what the reference holds there. One join for alleles up to a chunk."""
+    placed = variants.withColumns({"start": F.col("pos") - 1, "end": F.col("pos") - 1 + F.length("ref")})
+    seen = windows(placed, chunk_table, row_id, size, how="left")
+    ok = F.coalesce(F.upper("window") == F.col("ref"), F.lit(False)) & (F.col("pos") >= 1)
+    return seen.withColumn("ref_ok", ok).select(*variants.columns, "ref_ok")
+
+
 def reference_mismatches(variants: DataFrame, chunk_table: DataFrame, row_id: str, size: int = CHUNK) -> DataFrame:
     """Variants whose REF is not what the reference holds at that place (or lies off it)."""
-    placed = variants.withColumns({"start": F.col("pos") - 1, "end": F.col("pos") - 1 + F.length("ref")})
-    seen = windows(placed.select(row_id, "contig", "start", "end", "ref"), chunk_table, row_id, size)
-    right = seen.filter(F.upper("window") == F.col("ref")).select(row_id)
-    return variants.join(right, row_id, "left_anti")
+    return check_reference(variants, chunk_table, row_id, size).filter(~F.col("ref_ok")).drop("ref_ok")
 
 
 def split_alleles(variants: DataFrame) -> DataFrame:
@@ -41,19 +46,37 @@ def split_alleles(variants: DataFrame) -> DataFrame:
     ).drop("_i")
 
 
-def _common_suffix(a: Column, b: Column, limit: Column) -> Column:
-    """Length of the longest common suffix, at most ``limit``."""
-    differs = F.transform(
-        F.sequence(F.lit(1), limit), lambda i: F.substring(a, -i, F.lit(1)) != F.substring(b, -i, F.lit(1))
+def _common(a: Column, b: Column, limit: Column, side: str) -> Column:
+    """Length of the longest common suffix or prefix, at most ``limit``, by bisection.
+
+    Equality of the last n characters is monotone in n, so log2(limit) comparisons decide it; the
+    texts ride in the accumulator and are computed once.
+    """
+    steps = F.transform(
+        F.sequence(F.floor(F.log2(F.greatest(limit, F.lit(1)))).cast("int"), F.lit(0), F.lit(-1)),
+        lambda i: F.pow(F.lit(2), i).cast("int"),
     )
-    first = F.array_position(differs, F.lit(True)).cast("int")
-    return F.when(limit <= 0, 0).when(first > 0, first - 1).otherwise(limit)
+    start = F.struct(F.lit(0).alias("k"), a.alias("a"), b.alias("b"), limit.cast("int").alias("n"))
 
+    def part(text: Column, n: Column) -> Column:
+        return F.substring(text, -n, n) if side == "suffix" else F.substring(text, F.lit(1), n)
 
-def _trim(variants: DataFrame) -> DataFrame:
-    """Drop the shared suffix; ``_core`` is the pure inserted or deleted text, if one remains."""
+    def step(state: Column, width: Column) -> Column:
+        n = state["k"] + width
+        grow = (n <= state["n"]) & (part(state["a"], n) == part(state["b"], n))
+        return F.struct(
+            F.when(grow, n).otherwise(state["k"]).alias("k"), state["a"].alias("a"), state["b"].alias("b"), state["n"].alias("n")
+        )
+
+    return F.aggregate(steps, start, step, lambda state: state["k"])
+
+
+def _trimmed(variants: DataFrame) -> DataFrame:
+    """Drop the shared suffix. ``_core`` is the pure inserted or deleted text, if one remains, and
+    ``_start`` the 0-based place where it begins."""
     shorter = F.least(F.length("ref"), F.length("alt"))
-    suffix = _common_suffix(F.col("ref"), F.col("alt"), shorter)
+    single = (F.length("ref") == 1) & (F.length("alt") == 1)
+    suffix = F.when(single, 0).otherwise(_common(F.col("ref"), F.col("alt"), shorter, "suffix"))
     cut = variants.withColumn("_s", suffix).withColumns(
         {
             "_r": F.substring("ref", F.lit(1), F.length("ref") - F.col("_s")),
@@ -61,86 +84,83 @@ def _trim(variants: DataFrame) -> DataFrame:
         }
     )
     core = F.when((F.col("_r") == "") | (F.col("_a") == ""), F.concat("_r", "_a"))
+    same_first = F.substring("_r", 1, 1) == F.substring("_a", 1, 1)
     anchored = F.when(
-        F.substring("_r", 1, 1) == F.substring("_a", 1, 1),
-        F.when(F.length("_r") == 1, F.substring(F.col("_a"), F.lit(2), F.length("_a"))).when(
-            F.length("_a") == 1, F.substring(F.col("_r"), F.lit(2), F.length("_r"))
-        ),
-    )
+        same_first & (F.length("_r") == 1) & (F.length("_a") > 1), F.substring(F.col("_a"), F.lit(2), F.length("_a"))
+    ).when(same_first & (F.length("_a") == 1) & (F.length("_r") > 1), F.substring(F.col("_r"), F.lit(2), F.length("_r")))
     return cut.withColumns(
-        {"_core": F.coalesce(core, anchored), "_start": F.col("pos") - 1 + F.when(core.isNull() & anchored.isNotNull(), 1).otherwise(0)}
-    )
-
-
-def _left_trim(ref: Column, alt: Column) -> Column:
-    """Length of the shared prefix that can go while both alleles keep a base."""
-    limit = F.least(F.length(ref), F.length(alt)) - 1
-    differs = F.transform(
-        F.sequence(F.lit(1), limit), lambda i: F.substring(ref, i, F.lit(1)) != F.substring(alt, i, F.lit(1))
+        {
+            "_core": F.coalesce(core, anchored),
+            "_start": F.col("pos") - 1 + F.when(core.isNull() & anchored.isNotNull(), 1).otherwise(0),
+        }
     )
-    first = F.array_position(differs, F.lit(True)).cast("int")
-    return F.when(limit <= 0, 0).when(first > 0, first - 1).otherwise(limit)
 
 
 def left_align(variants: DataFrame, chunk_table: DataFrame, row_id: str, lookback: int = 64, size: int = CHUNK) -> DataFrame:
     """Left-align and trim each variant against the reference.
 
     A pure insertion or deletion of text S of length m moves left by k, the length of the run over
-    which the reference before it followed by S repeats with period m; the whole shift is one
-    comparison per base of the window, no step-by-step rewriting. SNVs pass untouched. Rows whose
-    run fills the window are redone with a window eight times as long, so no shift is cut short.
+    which the reference before it repeats S with period m: one suffix comparison with repeated S,
+    no step-by-step rewriting. All rows take one join; those that need no reference (SNVs, complex
+    alleles) get scattered keys that match nothing. The pass is checkpointed; rows whose run fills
+    the window are redone with a window eight times as long, so no shift is cut short.
     """
     columns = variants.columns
-    plain = variants.filter((F.length("ref") == 1) & (F.length("alt") == 1))
-    trimmed = _trim(variants.filter((F.length("ref") > 1) | (F.length("alt") > 1)))
-    complex_rows = trimmed.filter("_core is null").withColumns({"_ref": F.col("_r"), "_alt": F.col("_a")})
-    skip = _left_trim(F.col("_ref"), F.col("_alt"))
-    complex_done = complex_rows.withColumn("_k", skip).select(
-        *[c for c in columns if c not in ("pos", "ref", "alt")],
-        (F.col("pos") + F.col("_k")).alias("pos"),
-        F.substring(F.col("_ref"), F.col("_k") + 1, F.length("_ref")).alias("ref"),
-        F.substring(F.col("_alt"), F.col("_k") + 1, F.length("_alt")).alias("alt"),
-    )
-    results = [plain.select(*columns), complex_done.select(*columns)]
-
-    work, reach = trimmed.filter("_core is not null"), lookback
+    work, reach = _trimmed(variants), lookback
+    finished = []
     while True:
-        placed = work.withColumns({"start": F.col("_start") - reach, "end": F.col("_start")})
-        seen = windows(placed, chunk_table, row_id, size, max_span=reach if reach <= size else None)
-        text = F.concat(F.upper("window"), F.col("_core"))
-        m = F.length("_core")
-        # One base must stay as the anchor, so the shift may use all but the first window base.
-        room = F.length("window") - 1
-        differs = F.transform(
-            F.sequence(F.lit(1), room),
-            lambda i: F.substring(text, -i, F.lit(1)) != F.substring(text, -i - m, F.lit(1)),
+        needs = F.col("_core").isNotNull() & (F.col("_start") > 0)
+        scattered = (-size * (F.pmod(F.xxhash64(row_id), F.lit(1_000_000)) + 1)).cast("bigint")
+        placed = work.withColumns(
+            {
+                "contig_": F.col("contig"),
+                "contig": F.when(needs, F.col("contig")).otherwise(F.concat(F.lit("-"), scattered.cast("string"))),
+                "start": F.col("_start") - reach,
+                "end": F.when(needs, F.col("_start")).otherwise(F.col("_start") - reach),
+            }
         )
-        first = F.array_position(differs, F.lit(True)).cast("int")
-        shift = F.when(room <= 0, 0).when(first > 0, first - 1).otherwise(room)
-        moved = seen.withColumns({"_text": text, "_k": shift, "_room": room})
-        full = (F.col("_k") == F.col("_room")) & (F.col("start") > 0) & (F.col("_room") > 0)
-        done = moved.filter(~full)
-        anchor = F.substring(F.col("_text"), F.length("window") - F.col("_k"), F.lit(1))
-        rotated = F.substring(F.col("_text"), F.length("window") - F.col("_k") + 1, F.length("_core"))
-        deletion = F.length("_r") > F.length("_a")
-        # At the very start of a contig there is no base to the left; the base after the event anchors it.
-        first_base = F.col("window") == ""
-        after = F.substring("ref", F.length("_r") + 1, F.lit(1))
-        event = F.when(first_base, F.concat("_core", after)).otherwise(F.concat(anchor, rotated))
-        bare = F.when(first_base, after).otherwise(anchor)
-        results.append(
-            done.select(
-                *[c for c in columns if c not in ("pos", "ref", "alt")],
-                F.when(first_base, F.lit(1)).otherwise(F.col("_start") - F.col("_k")).alias("pos"),
-                F.when(deletion, event).otherwise(bare).alias("ref"),
-                F.when(deletion, bare).otherwise(event).alias("alt"),
-            ).select(*columns)
+        seen = windows(placed, chunk_table, row_id, size, max_span=reach if reach <= size else None, how="left")
+        m = F.length("_core")
+        window = F.upper(F.coalesce("window", F.lit("")))
+        # One base must stay as the anchor, so a shift may use all but the first window base.
+        room = F.greatest(F.length("_window") - 1, F.lit(0))
+        copies = F.repeat("_core", (F.col("_room") / m).cast("int") + 1)
+        periodic = F.substring(copies, -F.col("_room"), F.col("_room"))
+        shift = F.when(F.col("_core").isNotNull() & (F.col("_room") > 0), _common(F.col("_window"), periodic, F.col("_room"), "suffix"))
+        moved = (
+            seen.withColumn("_window", window)
+            .withColumn("_room", room)
+            .withColumn("_k", F.coalesce(shift, F.lit(0)))
+            .withColumn("contig", F.col("contig_"))
         )
-        rest = moved.filter(full).select(*work.columns)
+        moved = reliable_checkpoint(moved.withColumn("_full", (F.col("_room") > 0) & (F.col("_k") == F.col("_room")) & (F.col("start") > 0)))
+        finished.append(_rewritten(moved.filter("not _full")).select(*columns))
+        rest = moved.filter("_full").select(*work.columns)
         if rest.isEmpty():
-            break
-        work, reach = reliable_checkpoint(rest), reach * 8
-    return reduce(DataFrame.unionByName, results)
+            return reduce(DataFrame.unionByName, finished)
+        work, reach = rest, reach * 8
+
+
+def _rewritten(moved: DataFrame) -> DataFrame:
+    """Final position and alleles of aligned rows."""
+    text = F.concat("_window", "_core")
+    anchor = F.substring(text, F.length("_window") - F.col("_k"), F.lit(1))
+    rotated = F.substring(text, F.length("_window") - F.col("_k") + 1, F.length("_core"))
+    # At the very start of a contig there is no base to the left; the base after the event anchors it.
+    at_start = F.col("_window") == ""
+    after = F.substring("ref", F.length("_r") + 1, F.lit(1))
+    event = F.when(at_start, F.concat("_core", after)).otherwise(F.concat(anchor, rotated))
+    bare = F.when(at_start, after).otherwise(anchor)
+    deletion = F.length("_r") > F.length("_a")
+    pure = F.col("_core").isNotNull()
+    limit = F.least(F.length("_r"), F.length("_a")) - 1
+    skip = F.when(limit > 0, _common(F.col("_r"), F.col("_a"), limit, "prefix")).otherwise(0)
+    return moved.withColumn("_skip", F.when(~pure, skip).otherwise(0)).select(
+        *[c for c in moved.columns if c not in ("pos", "ref", "alt")],
+        F.when(~pure, F.col("pos") + F.col("_skip")).when(at_start, F.lit(1)).otherwise(F.col("_start") - F.col("_k")).alias("pos"),
+        F.when(~pure, F.substring(F.col("_r"), F.col("_skip") + 1, F.length("_r"))).when(deletion, event).otherwise(bare).alias("ref"),
+        F.when(~pure, F.substring(F.col("_a"), F.col("_skip") + 1, F.length("_a"))).when(deletion, bare).otherwise(event).alias("alt"),
+    )
 
 
 def with_inclusion(variants: DataFrame) -> DataFrame:

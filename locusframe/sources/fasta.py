@@ -104,9 +104,12 @@ def windows(
     size: int = CHUNK,
     piled: bool = False,
     max_span: int | None = None,
+    how: str = "inner",
 ) -> DataFrame:
     """Add ``window``: the reference bases of ``[start, end)`` of every site (clipped to the contig).
 
+    With ``how="left"`` sites off the reference stay, with a null window.
+
     Each chunk is joined with the text of the chunk after it appended, so a site of at most ``size``
     bases needs one equi-join wherever it lies. Longer sites are stitched by their unique ``row_id``;
     a caller that knows its sites are short says so with ``max_span`` and gets the one-join plan (a
@@ -124,8 +127,8 @@ def windows(
 
     def joined(side: DataFrame, text: DataFrame) -> DataFrame:
         if piled:
-            return salted_join(side, text, ["contig", "chunk_id"], hot=hot)
-        return side.join(text, ["contig", "chunk_id"])
+            return salted_join(side, text, ["contig", "chunk_id"], how, hot=hot)
+        return side.join(text, ["contig", "chunk_id"], how)
 
     offset = (low - F.col("chunk_start")).cast("int")
     length = F.greatest(F.col("end") - low, F.lit(0)).cast("int")
@@ -147,7 +150,7 @@ def windows(
         F.transform(F.array_sort(F.collect_list(F.struct("chunk_id", part.alias("b")))), lambda p: p["b"]), ""
     )
     stitched = joined(spread, chunk_table).groupBy(row_id).agg(text.alias("window"))
-    multi = crossing.join(stitched, row_id).select(*sites.columns, "window")
+    multi = crossing.join(stitched, row_id, how).select(*sites.columns, "window")
     return single.unionByName(multi)
 
 
