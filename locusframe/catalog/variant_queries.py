@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import genotype
 from ..functions.text import bounded, bounded_number
-from ..operators import haplotypes, intervals, matching, variants
+from ..operators import haplotypes, matching, variants
 from ..operators.rules import first_broken, multiset_difference
 from ..plans import benchmark
 from ..sources.vcf import native_rules, record_rules, repeated_alleles
@@ -246,20 +246,13 @@ def variant_order(t):
     return rows.select("contig_idx", "pos", "ref", "alt", "row_id").orderBy("contig_idx", "pos", "ref", "alt", "row_id")
 
 
-def _region(t):
-    return intervals.intersect(t.left, t.right)
-
-
 @query("j04_variants_in_regions", "SELECT contig, pos, ref, alt, CAST(alt_copies AS INTEGER) AS alt_copies FROM vqr")
 def variants_in_regions(t):
-    return matching.restrict(_included(t, F.col("is_query")).select(*matching.KEY).distinct(), _region(t))
+    return matching.restrict(_included(t, F.col("is_query")).select(*matching.KEY).distinct(), t.left, t.right)
 
 
 def _partitions(t):
-    region = _region(t)
-    return matching.match(
-        matching.restrict(_included(t, F.col("is_query")), region), matching.restrict(_included(t, F.col("is_truth")), region)
-    )
+    return matching.match(_included(t, F.col("is_query")), _included(t, F.col("is_truth")), t.left, t.right)
 
 
 @query("j13_genotype_match", "SELECT contig, pos, ref, alt, CAST(alt_copies AS INTEGER) AS alt_copies, part AS \"partition\" FROM parts")

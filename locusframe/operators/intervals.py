@@ -19,8 +19,8 @@ from .ordered import WIDTH, Running, following, previous, running
 CONTIG = ["contig"]
 
 
-def _deltas(sides: list[DataFrame], keys: list[str]) -> DataFrame:
-    """``(keys, pos, d0..dn)``: summed cover change of each side at each position."""
+def _moves(sides: list[DataFrame], keys: list[str]) -> DataFrame:
+    """``(keys, pos, d0..dn)``: one row per interval edge."""
     parts = []
     for index, side in enumerate(sides):
         ends = F.explode(
@@ -35,9 +35,13 @@ def _deltas(sides: list[DataFrame], keys: list[str]) -> DataFrame:
             for i in range(len(sides))
         ]
         parts.append(event.select(*keys, F.col("_e.pos").alias("pos"), *own))
-    moves = reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _deltas(sides: list[DataFrame], keys: list[str]) -> DataFrame:
+    """Summed cover change of each side at each position."""
     names = [f"d{i}" for i in range(len(sides))]
-    summed = moves.groupBy(*keys, "pos").agg(*[F.sum(n).alias(n) for n in names])
+    summed = _moves(sides, keys).groupBy(*keys, "pos").agg(*[F.sum(n).alias(n) for n in names])
     return summed.filter(" or ".join(f"{n} <> 0" for n in names))
 
 
@@ -135,24 +139,22 @@ def not_normalized(intervals: DataFrame) -> DataFrame:
     ).filter("_ok is null or n > 1").drop("_ok")
 
 
-def covered_points(points: DataFrame, regions: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Distinct ``(contig, pos)`` (0-based) that lie in a region.
+def covered_points(points: DataFrame, sides: list[DataFrame], width: int = WIDTH) -> DataFrame:
+    """Distinct ``(contig, pos)`` (0-based) that every side covers.
 
-    Points and region edges share one sweep: a point is inside when the cover at its position is
-    positive. Positions are made distinct first, so a piled-up position is one row.
+    Points and interval edges share one sweep: a point is inside when the cover of each side at its
+    position is positive, so the sides need not be merged or intersected first. Positions are made
+    distinct first, so a piled-up position is one row.
     """
-    marks = points.select("contig", F.col("pos").cast("bigint").alias("pos")).distinct()
-    moves = _deltas([regions], CONTIG)
-    mixed = (
-        moves.select("contig", "pos", "d0", F.lit(0).alias("_mark"))
-        .unionByName(
-            marks.select("contig", "pos", F.lit(0).cast("bigint").alias("d0"), F.lit(1).alias("_mark"))
-        )
-        .groupBy("contig", "pos")
-        .agg(F.sum("d0").alias("d0"), F.max("_mark").alias("_mark"))
-    )
-    swept = running(mixed, CONTIG, "pos", {"cover": Running("sum", "d0")}, width)
-    return swept.filter("_mark = 1 and cover > 0").select("contig", "pos")
+    names = [f"d{i}" for i in range(len(sides))]
+    zero = [F.lit(0).cast("bigint").alias(n) for n in names]
+    marks = points.select("contig", F.col("pos").cast("bigint").alias("pos"), *zero, F.lit(1).alias("_mark"))
+    moves = _moves(sides, CONTIG).withColumn("_mark", F.lit(0))
+    mixed = marks.unionByName(moves).groupBy("contig", "pos").agg(*[F.sum(n).alias(n) for n in names], F.max("_mark").alias("_mark"))
+    specs = {f"c{i}": Running("sum", n) for i, n in enumerate(names)}
+    swept = running(mixed, CONTIG, "pos", specs, width)
+    inside = " and ".join(f"c{i} > 0" for i in range(len(sides)))
+    return swept.filter(f"_mark = 1 and {inside}").select("contig", "pos")
 
 
 def overlap_pairs(

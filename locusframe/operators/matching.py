@@ -12,28 +12,40 @@ KEY = ["contig", "pos", "ref", "alt", "alt_copies"]
 PARTITIONS = ("tp", "tp_baseline", "fp", "fn")
 
 
-def restrict(variants: DataFrame, regions: DataFrame) -> DataFrame:
-    """Variants whose first base lies in a region."""
+def restrict(variants: DataFrame, *regions: DataFrame) -> DataFrame:
+    """Variants whose first base lies in every one of the regions."""
     points = variants.select("contig", (F.col("pos") - 1).alias("pos"))
-    inside = covered_points(points, regions).select("contig", (F.col("pos") + 1).alias("pos"))
+    inside = covered_points(points, list(regions)).select("contig", (F.col("pos") + 1).alias("pos"))
     return variants.join(inside, ["contig", "pos"], "left_semi")
 
 
-def match(query: DataFrame, truth: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """Full outer match on alleles and copy number: ``tp``+``tp_baseline``, ``fp`` or ``fn`` rows.
+def sides(query: DataFrame, truth: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """Distinct alleles with ``in_query`` and ``in_truth``.
 
-    A genotype difference is one fp and one fn. ``extra`` keys (a caller, a sample) join too.
+    A full outer match as one aggregation: equal alleles meet in the map-side combine, repeated
+    records collapse, and no side is sorted for a join. ``extra`` keys (a caller, a sample) match too.
     """
     keys = [*(extra or []), *KEY]
-    both = query.select(*keys).distinct().withColumn("_q", F.lit(True)).join(
-        truth.select(*keys).distinct().withColumn("_t", F.lit(True)), keys, "full_outer"
+    both = query.select(*keys, F.lit(True).alias("q"), F.lit(False).alias("t")).unionByName(
+        truth.select(*keys, F.lit(False).alias("q"), F.lit(True).alias("t"))
     )
+    return both.groupBy(*keys).agg(F.max("q").alias("in_query"), F.max("t").alias("in_truth"))
+
+
+def label(matched: DataFrame) -> DataFrame:
+    """``tp``+``tp_baseline``, ``fp`` or ``fn`` rows. A genotype difference is one fp and one fn."""
     labels = (
-        F.when(F.col("_q").isNotNull() & F.col("_t").isNotNull(), F.array(F.lit("tp"), F.lit("tp_baseline")))
-        .when(F.col("_q").isNotNull(), F.array(F.lit("fp")))
+        F.when(F.col("in_query") & F.col("in_truth"), F.array(F.lit("tp"), F.lit("tp_baseline")))
+        .when(F.col("in_query"), F.array(F.lit("fp")))
         .otherwise(F.array(F.lit("fn")))
     )
-    return both.select(*keys, F.explode(labels).alias("partition"))
+    return matched.withColumn("partition", F.explode(labels)).drop("in_query", "in_truth")
+
+
+def match(query: DataFrame, truth: DataFrame, *regions: DataFrame) -> DataFrame:
+    """Partition the calls and truth that lie in every region."""
+    matched = sides(query, truth)
+    return label(restrict(matched, *regions) if regions else matched)
 
 
 def class_counts(partitions: DataFrame, keys: list[str] | None = None) -> DataFrame:
