@@ -197,7 +197,7 @@ class Tables:
     def tasks(self) -> DataFrame:
         """Events as timed tasks."""
         e = self.read("events")
-        start = F.unix_micros("ts")
+        start = F.unix_micros(F.col("ts").cast("timestamp"))
         return e.select(
             (F.col("event_id") + 1).alias("task_id"),
             F.upper("event_type").alias("process"),
