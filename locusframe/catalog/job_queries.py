@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import intervals as iv
 from ..plans import domains
+from ..streaming.tasks import replay_status_counts
 from .registry import query, view
 from .source_queries import _gtf
 from . import views
@@ -95,3 +96,14 @@ def domain_construction(t):
     """Domains from annotation text and confidence intervals, summarised."""
     built = domains.construct(_gtf(t), iv.union(t.right), t.contigs)
     return domains.summary(built).filter("domain <> 'holdout'")
+
+
+@query("st1_task_ingest", """
+SELECT epoch_us(date_trunc('hour', ts)) AS window_us, event_type AS "group", CASE WHEN user_id % 5 = 0 THEN 'CACHED' ELSE 'COMPLETED' END AS status, count(*) AS n
+FROM events GROUP BY ALL
+""")
+def task_ingest(t):
+    """The streaming ingest run over the events file until it is exhausted."""
+    # A glob path serves both a single file and a folder of part files.
+    counts = replay_status_counts(t.spark, f"{t.sf_dir}/events.parque[t]")
+    return counts.select(F.unix_micros("window_start").alias("window_us"), "group", "status", "n")

@@ -110,9 +110,9 @@ def edge_endpoints(t):
 
 
 @query("c15_cyclic_core", """
-/*recursive*/ WITH walk AS (SELECT src AS origin, dst AS at, 1 AS n FROM edges WHERE src <= 64
-  UNION SELECT origin, dst, n + 1 FROM walk JOIN edges ON src = at WHERE n < 8)
-SELECT src, dst FROM edges WHERE src IN (SELECT origin FROM walk WHERE at = origin) AND dst IN (SELECT origin FROM walk WHERE at = origin)
+/*recursive*/ WITH walk AS (SELECT src AS origin, dst AS place FROM edges
+  UNION SELECT origin, dst FROM walk JOIN edges ON src = place)
+SELECT src, dst FROM edges WHERE src IN (SELECT origin FROM walk WHERE place = origin) AND dst IN (SELECT origin FROM walk WHERE place = origin)
 """)
 def cyclic_core(t):
     """The edge back makes 1, 5 and 2 a cycle; every other hand-over is peeled away."""

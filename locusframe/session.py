@@ -25,13 +25,11 @@ def local_session(cores: str = "8", name: str = "locusframe") -> SparkSession:
     )
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage into the shared folder the cluster names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the session has no ``spark.checkpoint.dir`` (single-machine tests) does this fall
-    back to a folder of its own, so an executor lost later never loses the written rows.
+    Only a single-machine session without that setting (a test) gets a folder of its own.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = spark.conf.get(CHECKPOINT_KEY, None)
@@ -42,4 +40,10 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
 
             configured = tempfile.mkdtemp(prefix="spark-")
         context.setCheckpointDir(configured)
+    return context.getCheckpointDir()
+
+
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """Cut lineage into the shared folder, so an executor lost later never loses the written rows."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

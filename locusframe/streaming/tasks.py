@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
+from ..session import shared_folder
+
 TERMINAL = ("COMPLETED", "FAILED", "CANCELLED")
 ALERT = "run_id string, kind string, at timestamp"
 
@@ -29,6 +32,31 @@ def ingest(observations: DataFrame, lateness: str = "10 minutes", window: str =
     )
 
 
+def replay_status_counts(spark: SparkSession, path: str, window: str = "1 hour") -> DataFrame:
+    """Run the ingest once over files that hold ``events`` and return the final counts.
+
+    The stream reads everything available, then stops; each trigger replaces the small count table
+    in the shared folder.
+    """
+    root = f"{shared_folder(spark)}/ingest-{uuid.uuid4().hex}"
+    raw = spark.readStream.schema("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string").parquet(path)
+    observed = raw.select(
+        F.col("event_id").alias("task_id"), F.lit(1).alias("attempt"), F.col("event_type").alias("group"),
+        F.when(F.col("user_id") % 5 == 0, "CACHED").otherwise("COMPLETED").alias("status"),
+        F.col("ts").cast("timestamp").alias("complete"),
+    )
+
+    def replace(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/counts")
+
+    stream = (
+        ingest(observed, window=window).writeStream.outputMode("complete").foreachBatch(replace)
+        .option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
+    )
+    stream.awaitTermination()
+    return spark.read.parquet(f"{root}/counts")
+
+
 class Supervisor(StatefulProcessor):
     """One run's life: reserved, running, terminal; alerts when its deadline passes first."""
 
