@@ -87,7 +87,7 @@ WHERE coalesce(substr(r.bases, CAST((v.pos - 1) % 8 + 1 AS INTEGER), length(v.re
 
 @query("j11_reference_check", "SELECT row_id, contig, pos, ref FROM refbad")
 def reference_check(t):
-    return variants.reference_mismatches(t.variants, t.chunks, "row_id").select("row_id", "contig", "pos", "ref")
+    return variants.reference_mismatches(t.variants, t.chunks, "row_id", max_span=2).select("row_id", "contig", "pos", "ref")
 
 
 def _known_sites(t):
@@ -224,7 +224,7 @@ WHERE NOT list_contains(string_split_regex(gt, '[/|]'), '.') AND len(string_spli
 
 
 def _good(t):
-    return variants.check_reference(t.variants, t.chunks, "row_id").filter("ref_ok").drop("ref_ok")
+    return variants.check_reference(t.variants, t.chunks, "row_id", max_span=2).filter("ref_ok").drop("ref_ok")
 
 
 @query("sc08_left_alignment", "SELECT row_id, contig, pos, ref, alt FROM valigned WHERE length(ref) <> length(alt)")
@@ -235,7 +235,7 @@ def left_alignment(t):
 
 @query("c03_normalize_calls", "SELECT row_id, contig, pos, ref, alt, alt_copies FROM vnormal")
 def normalize_calls(t):
-    return benchmark.normalize(t.variants, t.chunks).select(
+    return benchmark.normalize(t.variants, t.chunks, max_span=2).select(
         "row_id", "contig", "pos", "ref", "alt", F.col("alt_copies").cast("bigint").alias("alt_copies")
     )
 
@@ -448,7 +448,7 @@ FROM (VALUES ('SNP'), ('INDEL'), ('OTHER')) c(variant_class) LEFT JOIN (
 
 
 def _calls(t):
-    return benchmark.normalize(t.variants, t.chunks)
+    return benchmark.normalize(t.variants, t.chunks, max_span=2)
 
 
 @query("c04_benchmark", METRICS.replace("{source}", "nclasses"))

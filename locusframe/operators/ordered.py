@@ -42,9 +42,18 @@ def _join_carry(df: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def running(
-    df: DataFrame, keys: list[str], order: str, specs: dict[str, Running], width: int = WIDTH
+    df: DataFrame,
+    keys: list[str],
+    order: str,
+    specs: dict[str, Running],
+    width: int = WIDTH,
+    bounded: bool = False,
 ) -> DataFrame:
-    """Add one running column per spec, ordered by ``order`` inside ``keys``."""
+    """Add one running column per spec, ordered by ``order`` inside ``keys``.
+
+    Say ``bounded`` only when the key-by-order space is bounded by nature (the bases of a genome):
+    the summary then has at most space / width rows and is broadcast; otherwise it is joined.
+    """
     tiled = df.withColumn(TILE, F.floor(F.col(order) / width).cast("bigint"))
 
     summaries = {}
@@ -64,7 +73,7 @@ def running(
         return over.over(before).alias(f"_c_{out}")
 
     carry = per_tile.select(*keys, TILE, *[across(o, s) for o, s in specs.items()])
-    joined = _join_carry(tiled, carry, keys)
+    joined = _join_carry(tiled, F.broadcast(carry) if bounded else carry, keys)
 
     local = Window.partitionBy(*keys, TILE).orderBy(order)
 

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from ..functions.cigar import aligned_blocks, unclipped_end, unclipped_start
 from ..functions.quality import phred, stored_order
 from ..functions.sequence import reverse_complement
-from .intervals import cover, overlap_pairs, where
-from .ordered import Running, following, running
+from .intervals import cover, overlap_pairs
+from .ordered import WIDTH, Running, following, running
 from .rules import Rule, first_broken
 from .skew import best_row_ids
 
@@ -110,9 +110,24 @@ def counted_blocks(reads: DataFrame, min_mapq: int = 20, min_quality: int = 20,
     )
 
 
-def once_per_fragment(pieces: DataFrame) -> DataFrame:
-    """Union the blocks of each fragment so overlapping mates count once."""
-    return where([pieces], lambda c: c[0] > 0, ["contig", "qname"])
+def once_per_fragment(pieces: DataFrame, width: int = WIDTH) -> DataFrame:
+    """Disjoint pieces of each fragment, so bases under overlapping mates count once.
+
+    Blocks are cut at multiples of ``width``; inside a fragment and tile each piece starts no earlier
+    than the furthest end before it. Cut or shortened pieces cover the same bases, which is all that
+    depth needs, so no value has to cross tiles.
+    """
+    tile = F.floor(F.col("start") / width)
+    last = F.floor((F.col("end") - 1) / width)
+    cut = pieces.filter("start < end").select(
+        "contig", "qname", "start", "end", F.explode(F.sequence(tile, last)).alias("tile")
+    )
+    clipped = cut.groupBy(
+        "contig", "qname", "tile", F.greatest(F.col("start"), F.col("tile") * width).alias("start")
+    ).agg(F.max(F.least(F.col("end"), (F.col("tile") + 1) * width)).alias("end"))
+    before = Window.partitionBy("contig", "qname", "tile").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    moved = clipped.withColumn("start", F.greatest(F.col("start"), F.max("end").over(before)))
+    return moved.filter("start < end").select("contig", "qname", "start", "end")
 
 
 def depth_over(pieces: DataFrame, domain: DataFrame) -> DataFrame:
