@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import WIDTH, Running, following, previous, running
+from .ordered import TILE, WIDTH, Running, following, previous, running
 
 CONTIG = ["contig"]
 
@@ -49,7 +49,7 @@ def cover(sides: list[DataFrame], keys: list[str] = CONTIG, width: int = WIDTH)
     """Cover of each side from ``pos`` on: columns ``c0..cn`` next to the deltas ``d0..dn``."""
     moves = _deltas(sides, keys)
     specs = {f"c{i}": Running("sum", f"d{i}") for i in range(len(sides))}
-    return running(moves, keys, "pos", specs, width, bounded=keys == CONTIG)
+    return running(moves, keys, "pos", specs, width, bounded=keys == CONTIG, keep_tile=True)
 
 
 def where(
@@ -62,7 +62,7 @@ def where(
     swept = cover(sides, keys, width)
     now = inside([F.col(f"c{i}") for i in range(len(sides))])
     before = inside([F.col(f"c{i}") - F.col(f"d{i}") for i in range(len(sides))])
-    edges = swept.select(*keys, "pos", now.alias("_now"), before.alias("_before")).filter("_now <> _before")
+    edges = swept.select(*keys, TILE, "pos", now.alias("_now"), before.alias("_before")).filter("_now <> _before")
     return (
         following(edges, keys, "pos", "end", width)
         .filter("_now")

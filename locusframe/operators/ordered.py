@@ -27,6 +27,16 @@ class Running:
     inclusive: bool = True
 
 
+def _tiled(df: DataFrame, keys: list[str], order: str, width: int) -> DataFrame:
+    """Add the tile. The null checks are those a join on the keys implies; stating them here keeps both
+    uses of the rows (summary and detail) one plan, so the shuffle below them is reused."""
+    tiled = df.withColumn(TILE, F.floor(F.col(order) / width).cast("bigint"))
+    present = F.col(TILE).isNotNull()
+    for key in keys:
+        present = present & F.col(key).isNotNull()
+    return tiled.filter(present)
+
+
 def _on(keys: list[str], left: DataFrame, right: DataFrame) -> Column:
     condition = left[TILE] == right[TILE]
     for key in keys:
@@ -48,13 +58,15 @@ def running(
     specs: dict[str, Running],
     width: int = WIDTH,
     bounded: bool = False,
+    keep_tile: bool = False,
 ) -> DataFrame:
     """Add one running column per spec, ordered by ``order`` inside ``keys``.
 
     Say ``bounded`` only when the key-by-order space is bounded by nature (the bases of a genome):
     the summary then has at most space / width rows and is broadcast; otherwise it is joined.
+    ``keep_tile`` leaves the tile column for a following pass over the same tiles.
     """
-    tiled = df.withColumn(TILE, F.floor(F.col(order) / width).cast("bigint"))
+    tiled = _tiled(df, keys, order, width)
 
     summaries = {}
     for out, spec in specs.items():
@@ -87,9 +99,8 @@ def running(
         inside = F.sum(spec.column).over(frame)
         return F.coalesce(inside, F.lit(0)) + F.coalesce(carried, F.lit(0))
 
-    return joined.withColumns({o: value(o, s) for o, s in specs.items()}).drop(
-        TILE, *[f"_c_{o}" for o in specs]
-    )
+    done = joined.withColumns({o: value(o, s) for o, s in specs.items()}).drop(*[f"_c_{o}" for o in specs])
+    return done if keep_tile else done.drop(TILE)
 
 
 def following(df: DataFrame, keys: list[str], order: str, out: str, width: int = WIDTH) -> DataFrame:
@@ -98,7 +109,7 @@ def following(df: DataFrame, keys: list[str], order: str, out: str, width: int =
     Every row but the last of a tile finds it in its own tile. That last row, and the first row of
     each tile that answers it, meet in one narrow lane per key: at most two rows per tile.
     """
-    tiled = df.withColumn(TILE, F.floor(F.col(order) / width).cast("bigint"))
+    tiled = df if TILE in df.columns else _tiled(df, keys, order, width)
     local = Window.partitionBy(*keys, TILE).orderBy(order)
     first, last = F.lag(order).over(local).isNull(), F.lead(order).over(local).isNull()
     seen = tiled.withColumns({"_next": F.lead(order).over(local), "_first": first, "_last": last})
