@@ -395,7 +395,7 @@ def duplicate_totals(t):
 
 view("depthtotals", """
 SELECT o_custkey, count(*) * 100 AS length, CAST(sum(o_orderkey % 1000) AS BIGINT) AS bases, min(o_orderkey % 1000) AS mn, max(o_orderkey % 1000) AS mx,
-       round(CAST(sum(o_orderkey % 1000) AS DOUBLE) / (count(*) * 100), 2) + CASE WHEN o_custkey % 7 = 0 THEN 1 ELSE 0 END AS mean FROM orders GROUP BY o_custkey
+       CAST(CAST(sum(o_orderkey % 1000) AS BIGINT) * 100 // (count(*) * 100) AS DOUBLE) / 100 + CASE WHEN o_custkey % 7 = 0 THEN 1 ELSE 0 END AS mean FROM orders GROUP BY o_custkey
 """)
 
 
@@ -404,7 +404,7 @@ def _depth_totals(t):
     rows = t.read("orders").groupBy("o_custkey").agg(
         (F.count(F.lit(1)) * 100).alias("length"), F.sum(depth).alias("bases"), F.min(depth).alias("min"), F.max(depth).alias("max")
     )
-    mean = F.round(F.col("bases") / F.col("length"), 2) + F.when(F.col("o_custkey") % 7 == 0, 1).otherwise(0)
+    mean = F.floor(F.col("bases") * 100 / F.col("length")) / 100 + F.when(F.col("o_custkey") % 7 == 0, 1).otherwise(0)
     return rows.select(
         F.lit("total").alias("chrom"), *[F.col(c).cast("string").alias(c) for c in ("length", "bases", "min", "max")], mean.cast("string").alias("mean")
     )

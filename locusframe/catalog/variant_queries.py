@@ -131,7 +131,7 @@ def probability_rows(t):
     rows = t.read("events").select(
         "event_id",
         F.when(key % 19 == 0, F.array(a, b))
-        .when(key % 23 == 0, F.array(a + 1, b, -a - b))
+        .when(key % 23 == 0, F.array(a + 1.5, b, -a - b - 0.5))
         .when(key % 29 == 0, F.array(a, b, F.lit(None).cast("double")))
         .otherwise(F.array(a, b, 1 - a - b + F.when(key % 17 == 0, 0.1).otherwise(0.0))).alias("probabilities"),
     )
