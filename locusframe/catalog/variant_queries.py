@@ -457,11 +457,3 @@ def benchmark_calls(t):
     calls = _calls(t)
     scored = benchmark.benchmark(calls.filter("is_query"), calls.filter("is_truth"), t.left, t.right)
     return scored.drop("evaluated_bases").withColumn("missing_reasons", F.to_json("missing_reasons"))
-
-
-@query("c04_benchmark_rescued")
-def benchmark_rescued(t):
-    """The same benchmark with haplotype rescue of differing representations."""
-    calls = _calls(t)
-    scored = benchmark.benchmark(calls.filter("is_query"), calls.filter("is_truth"), t.left, t.right, t.chunks, gap=2)
-    return scored.withColumn("missing_reasons", F.to_json("missing_reasons"))
