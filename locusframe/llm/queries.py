@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact, minhash, packing, recompress
+from . import bpe, exact, language, minhash, packing, recompress, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -92,3 +92,29 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4)
+
+
+@query(
+    "op1_warc_round_trip",
+    r"""
+    WITH payloads AS (
+        SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+    least AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM payloads)
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
+    FROM least
+    """,
+)
+def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("stated_digest")
+
+
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict_languages(table(spark, sf_dir, "documents"))
+
+
+@query("op9_simhash_fingerprints")
+def op9_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.edited_fingerprints(table(spark, sf_dir, "documents"))
