@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, exact, language, minhash, packing, recompress, simhash, warc
+from . import bpe, chat, exact, language, minhash, packing, quality, recompress, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -118,3 +119,36 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_simhash_fingerprints")
 def op9_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op3_tool_call_linking",
+    r"""
+    WITH turns AS (SELECT conv_id, turn, role, text, conv_id || ':' || turn AS own FROM conversations),
+    calls AS (SELECT *, CASE WHEN turn >= 2 THEN conv_id || ':' || (turn - 2) END AS after FROM turns WHERE role = 'user'),
+    results AS (SELECT conv_id || ':' || (turn - 1) AS own, turn AS result_turn, text AS result FROM turns WHERE role = 'assistant'),
+    chain AS (
+        SELECT c.own, c.conv_id, c.turn, coalesce(sum(CASE WHEN p.own IS NULL THEN 1 ELSE 0 END) OVER w, 0) AS part
+        FROM calls c LEFT JOIN calls p ON p.own = c.after WINDOW w AS (PARTITION BY c.conv_id, c.turn % 2 ORDER BY c.turn)),
+    depth AS (SELECT own, row_number() OVER (PARTITION BY conv_id, turn % 2, part ORDER BY turn) - 1 AS depth FROM chain),
+    linked AS (
+        SELECT coalesce(c.own, r.own) AS call_id, c.own IS NOT NULL AS has_call, r.own IS NOT NULL AS has_result, c.turn, c.text, r.result_turn, r.result
+        FROM calls c FULL JOIN results r ON c.own = r.own)
+    SELECT call_id, turn, result_turn, CAST(has_call AS BIGINT) AS n_calls, CAST(has_result AS BIGINT) AS n_results, depth,
+        concat_ws('; ',
+            CASE WHEN has_call AND length(text) = 0 THEN '$.prompt: too short' END, CASE WHEN has_call AND length(text) > 400 THEN '$.prompt: too long' END,
+            CASE WHEN NOT has_call THEN 'no call' END, CASE WHEN has_call AND NOT has_result THEN 'no result' END) AS faults,
+        sha256('{"arguments":' || CASE WHEN has_call THEN '{"prompt":' || to_json(text) || ',"turn":' || turn || '}' ELSE 'null' END || ',"id":' || to_json(call_id)
+            || ',"name":' || CASE WHEN has_call THEN '"reply"' ELSE 'null' END || ',"result":' || coalesce(CAST(to_json(result) AS VARCHAR), 'null') || '}') AS json_sha256
+    FROM linked LEFT JOIN depth ON own = call_id
+    """,
+)
+def op3_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = chat.conversation_calls(table(spark, sf_dir, "conversations"))
+    linked = chat.link_calls(calls, results, chat.REPLY_SCHEMA)
+    return linked.withColumn("faults", F.concat_ws("; ", "faults")).withColumn("json_sha256", F.sha2("json", 256)).drop("json")
+
+
+@query("op8_quality_classifier")
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
