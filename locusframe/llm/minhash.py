@@ -208,7 +208,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
         .mapInArrow(_estimated(percent), "u long, v long")
     )
     looked = written(looked, "looked")
-    sets = written(_sets_of(texts, looked.select(F.col("u").alias("id")).unionByName(looked.select(F.col("v").alias("id"))), shingle_words), "sets")
+    # the texts are read a second time, once, for the full sets of all classes that share a bucket
+    sets = written(_sets_of(texts, shared.select("id"), shingle_words), "sets")
     links = (
         looked.join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("left")), "u")
         .join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("right")), "v")
@@ -216,7 +217,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     )
     links = written(links, "links")
     labels = connected(links)
-    links = links.unionByName(_links_within(texts, shared, labels, shingle_words, percent))
+    links = links.unionByName(_links_within(sets, shared, labels, percent))
     labels = connected(links).withColumnsRenamed({"node": "id", "component": "label"})
 
     owned = owners.join(labels, "id", "left").select(*same_set, F.coalesce("label", "id").alias("component_id"))
@@ -225,7 +226,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     return joined.select("doc_id", "n_shingles", component).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _links_within(texts: DataFrame, shared: DataFrame, labels: DataFrame, size: int, percent: int) -> DataFrame:
+def _links_within(sets: DataFrame, shared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Links between different components inside the buckets that hold three classes or more."""
     named = shared.filter("n > 2").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = named.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("held"), F.bit_xor(F.xxhash64("id")).alias("who"), F.sum(F.xxhash64("id", F.lit(1)).cast("decimal(38,0)")).alias("sum")).filter("a <> b")
@@ -235,5 +236,4 @@ def _links_within(texts: DataFrame, shared: DataFrame, labels: DataFrame, size:
     own = F.pmod(F.xxhash64("id", F.lit(7)), F.col("parts")).cast("int")
     tiles = rest.withColumn("part", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     tiles = tiles.select("bucket", "id", "component", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
-    sets = _sets_of(texts, rest, size)
     return tiles.join(sets, "id").groupBy("bucket", "low", "high").applyInArrow(_tile(percent), "u long, v long")
