@@ -49,7 +49,7 @@ def cover(sides: list[DataFrame], keys: list[str] = CONTIG, width: int = WIDTH)
     """Cover of each side from ``pos`` on: columns ``c0..cn`` next to the deltas ``d0..dn``."""
     moves = _deltas(sides, keys)
     specs = {f"c{i}": Running("sum", f"d{i}") for i in range(len(sides))}
-    return running(moves, keys, "pos", specs, width, bounded=keys == CONTIG, keep_tile=True)
+    return running(moves, keys, "pos", specs, width, keep_tile=True)
 
 
 def where(
@@ -152,7 +152,7 @@ def covered_points(points: DataFrame, sides: list[DataFrame], width: int = WIDTH
     moves = _moves(sides, CONTIG).withColumn("_mark", F.lit(0))
     mixed = marks.unionByName(moves).groupBy("contig", "pos").agg(*[F.sum(n).alias(n) for n in names], F.max("_mark").alias("_mark"))
     specs = {f"c{i}": Running("sum", n) for i, n in enumerate(names)}
-    swept = running(mixed, CONTIG, "pos", specs, width, bounded=True)
+    swept = running(mixed, CONTIG, "pos", specs, width)
     inside = " and ".join(f"c{i} > 0" for i in range(len(sides)))
     return swept.filter(f"_mark = 1 and {inside}").select("contig", "pos")
 

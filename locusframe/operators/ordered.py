@@ -57,14 +57,12 @@ def running(
     order: str,
     specs: dict[str, Running],
     width: int = WIDTH,
-    bounded: bool = False,
     keep_tile: bool = False,
 ) -> DataFrame:
     """Add one running column per spec, ordered by ``order`` inside ``keys``.
 
-    Say ``bounded`` only when the key-by-order space is bounded by nature (the bases of a genome):
-    the summary then has at most space / width rows and is broadcast; otherwise it is joined.
-    ``keep_tile`` leaves the tile column for a following pass over the same tiles.
+    The summary of the tiles is joined on (keys, tile), on which the rows are dealt for their local pass
+    anyway; Spark broadcasts it only where its measured size allows. ``keep_tile`` leaves the tile column for a following pass over the same tiles.
     """
     tiled = _tiled(df, keys, order, width)
 
@@ -85,7 +83,7 @@ def running(
         return over.over(before).alias(f"_c_{out}")
 
     carry = per_tile.select(*keys, TILE, *[across(o, s) for o, s in specs.items()])
-    joined = _join_carry(tiled, F.broadcast(carry) if bounded else carry, keys)
+    joined = _join_carry(tiled, carry, keys)
 
     local = Window.partitionBy(*keys, TILE).orderBy(order)
 

@@ -19,7 +19,7 @@ def parse_fastq(lines: DataFrame, mate: int) -> DataFrame:
     record = keyed.groupBy("source", "record").agg(
         *[F.max(F.when(F.col("slot") == i, F.col("value"))).alias(n) for i, n in enumerate(["head", "bases", "plus", "quality"])]
     )
-    words = F.split(F.substring("head", 2, 1_000_000), r"\s+")
+    words = F.split(F.expr("substring(head, 2)"), r"\s+")
     raw_id = F.get(words, F.lit(0))
     suffix = F.regexp_extract(raw_id, r"/([12])$", 1)
     comment = F.regexp_extract(F.get(words, F.lit(1)), r"^([12])", 1)
@@ -37,15 +37,20 @@ def parse_fastq(lines: DataFrame, mate: int) -> DataFrame:
     return named.select("source", "record", "read_id", "bases", "quality", first_broken(rules).alias("violation"))
 
 
-def pair_mates(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Full outer join of the mates on the record index; both ends and equal ids are required."""
-    a = first.select("record", F.col("read_id").alias("id1"), F.col("bases").alias("bases1"), F.col("quality").alias("quality1"))
-    b = second.select("record", F.col("read_id").alias("id2"), F.col("bases").alias("bases2"), F.col("quality").alias("quality2"))
+def pair_mates(first: DataFrame, second: DataFrame, lane: list[str] | None = None) -> DataFrame:
+    """Full outer join of the mates on the record index; both ends and equal ids are required.
+
+    Name the columns in ``lane`` that tell lanes apart when the tables hold several, so that a record only
+    meets its mate of the same lane.
+    """
+    keys = [*(lane or []), "record"]
+    a = first.select(*keys, F.col("read_id").alias("id1"), F.col("bases").alias("bases1"), F.col("quality").alias("quality1"))
+    b = second.select(*keys, F.col("read_id").alias("id2"), F.col("bases").alias("bases2"), F.col("quality").alias("quality2"))
     rules = [
         Rule("missing_mate", F.col("id1").isNull() | F.col("id2").isNull()),
         Rule("identity_mismatch", F.col("id1") != F.col("id2")),
     ]
-    return a.join(b, "record", "full_outer").withColumn("violation", first_broken(rules))
+    return a.join(b, keys, "full_outer").withColumn("violation", first_broken(rules))
 
 
 def lane_summary(reads: DataFrame, keys: list[str]) -> DataFrame:

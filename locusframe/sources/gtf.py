@@ -10,8 +10,10 @@ from .lines import field, field_count
 
 
 def attribute(name: str) -> Column:
-    """All values of one attribute of a row."""
-    return F.regexp_extract_all("attributes", F.lit(rf'(?:^|;)[ \t]*{name} "([^"\n]+)"(?=;|$)'), F.lit(1))
+    """All quoted values of one attribute of a row; entries are parted by semicolons."""
+    entries = F.transform(F.split("attributes", ";"), lambda e: F.ltrim(F.translate(e, "\t", " ")))
+    named = F.filter(entries, lambda e: e.startswith(f'{name} "') & e.endswith('"') & (F.size(F.split(e, '"')) == 3))
+    return F.filter(F.transform(named, lambda e: F.get(F.split(e, '"'), F.lit(1))), lambda v: v != "")
 
 
 def parse_gtf(lines: DataFrame) -> DataFrame:
