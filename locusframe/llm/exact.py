@@ -17,6 +17,8 @@ from .arrays import ids_of
 TRIE_BYTES = 64 << 20
 #: Copies of a text within one input task from which it takes the salted round.
 HOT_COPIES = 8
+#: What a node costs beside its label.
+NODE_BYTES = 250
 SALTS = 64
 KEYED = "text_sha256 string, length long, content_hash long, norm binary, keep_id long, group_size long"
 
@@ -50,8 +52,8 @@ class PatriciaTrie:
             child = node.children.get(text[at])
             if child is None:
                 node.children[text[at]] = Node(text[at:], [keep, size, tag])
-                self._grow(n - at)
-                return
+                self.bytes += n - at + NODE_BYTES
+                break
             if child.file is not None:
                 pickle.dump((text[at + 1 :], keep, size, tag), child.file)
                 return
@@ -62,13 +64,11 @@ class PatriciaTrie:
                 child.label = label[same:]
                 upper.children[label[same]] = child
                 node.children[text[at]] = child = upper
-                self._grow(0)
+                self.bytes += NODE_BYTES  # no spill before the text has its place below the new node
             node, at = child, at + len(child.label)
-        owner = node.owner
-        node.owner = [keep, size, tag] if owner is None else [min(owner[0], keep), owner[1] + size, owner[2]]
-
-    def _grow(self, label: int) -> None:
-        self.bytes += label + 250  # a node beside its label
+        else:
+            owner = node.owner
+            node.owner = [keep, size, tag] if owner is None else [min(owner[0], keep), owner[1] + size, owner[2]]
         if self.bytes > self.limit:
             self._spill()
 
@@ -76,12 +76,12 @@ class PatriciaTrie:
         node = self.root
         while len(node.children) == 1 and (only := next(iter(node.children.values()))).children:
             node = only
-        held = {k: sum(len(x.label) + 250 for _, x in self._nodes(c, b"")) for k, c in node.children.items() if c.file is None}
-        if len(held) < 2:
-            return
-        first = max(held, key=held.get)
+        held = {k: sum(len(x.label) + NODE_BYTES for _, x in self._nodes(c, b"")) for k, c in node.children.items() if c.file is None}
+        first = max(held, key=held.get, default=None)
+        if first is None or len(held) < 2 and not node.children[first].children:
+            return  # a single text is left, and spilling it would gain nothing
         gone = Node(bytes([first]))
-        gone.file = tempfile.TemporaryFile()
+        gone.file = tempfile.TemporaryFile(dir=os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None)  # where Spark spills
         for text, part in self._nodes(node.children[first], b""):
             if part.file is not None:
                 part.file.seek(0)

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -119,7 +119,9 @@ def test_exact(spark):
     assert exact.exact_duplicates(docs.limit(0)).count() == 0
 
 
-@settings(max_examples=60, deadline=None)
+@settings(max_examples=500, deadline=None)
+@example([b"\x00", b"\x01", b"\x02", b"\x03", b"\x04", b"\x05", b"\x96\x00", b"\x96"])
+@example([bytes([a, b, 0]) for a in (1, 2) for b in range(60)])
 @given(st.lists(st.binary(max_size=6) | st.sampled_from([b"aaaa", b"aaab", b"aaaaa"]), max_size=80))
 def test_trie_spills_and_stays_right(texts):
     trie = exact.PatriciaTrie(limit=2_000)
@@ -127,6 +129,7 @@ def test_trie_spills_and_stays_right(texts):
     for i, text in enumerate(texts):
         trie.insert(text, 1000 - i, 1, ("t",))
         want[text] = [1000 - i, want.get(text, [0, 0])[1] + 1, ("t",)]
+        assert trie.bytes <= 2_000 + 600
     assert dict(trie.owners()) == want
 
 
