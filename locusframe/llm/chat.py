@@ -65,6 +65,12 @@ def _checked(schemas: dict[str, dict]):
     return run
 
 
+def _spread(calls: DataFrame, pointer: str) -> DataFrame:
+    """Add the join key of a pointer. Calls that point nowhere get their own id as key and ``start``, so
+    they are dealt evenly and meet nothing."""
+    return calls.withColumn("start", F.col(pointer).isNull()).withColumn("key", F.coalesce(pointer, "call_id"))
+
+
 def depths(nodes: DataFrame) -> DataFrame:
     """Place of each call in its chain: call_id, depth (0 for a start; null on or behind a cycle).
 
@@ -72,14 +78,16 @@ def depths(nodes: DataFrame) -> DataFrame:
     null). Pointers double each round, so a chain of n calls takes log n rounds; more rounds than the
     count of nodes allows mean a cycle.
     """
-    known = nodes.select(F.col("call_id").alias("after"), F.lit(True).alias("known"))
-    current = written(nodes.join(known, "after", "left").select("call_id", F.when(F.col("known"), F.col("after")).alias("jump"), F.when(F.col("known"), 1).otherwise(0).cast("long").alias("depth")), "chain")
+    known = nodes.select(F.col("call_id").alias("key"), F.lit(False).alias("start"), F.lit(True).alias("known"))
+    joined = _spread(nodes, "after").join(known, ["start", "key"], "left")
+    current = written(joined.select("call_id", F.when(F.col("known"), F.col("after")).alias("jump"), F.when(F.col("known"), 1).otherwise(0).cast("long").alias("depth")), "chain")
     rounds = current.count().bit_length() + 1
     for _ in range(rounds):
         if current.filter("jump is not null").isEmpty():
             break
-        ahead = current.select(F.col("call_id").alias("jump"), F.col("jump").alias("far"), F.col("depth").alias("more"))
-        current = written(current.join(ahead, "jump", "left").select("call_id", F.col("far").alias("jump"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")), "chain")
+        ahead = current.select(F.col("call_id").alias("key"), F.lit(False).alias("start"), F.col("jump").alias("far"), F.col("depth").alias("more"))
+        joined = _spread(current, "jump").join(ahead, ["start", "key"], "left")
+        current = written(joined.select("call_id", F.col("far").alias("jump"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")), "chain")
     return current.select("call_id", F.when(F.col("jump").isNull(), F.col("depth")).alias("depth"))
 
 
