@@ -11,7 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import salted_join
 from .arrays import ids_of
+from .store import written
 
 #: Bytes of labels that a trie holds before it spills its largest subtree.
 TRIE_BYTES = 64 << 20
@@ -20,6 +22,9 @@ HOT_COPIES = 8
 #: What a node costs beside its label.
 NODE_BYTES = 250
 SALTS = 64
+#: A text is hot in the join of rows with owners when it has more than this share of all rows (1/1000).
+#: So at most a thousand texts are, which bounds the table of them.
+HOT_SHARE = 1000
 KEYED = "text_sha256 string, length long, content_hash long, norm binary, keep_id long, group_size long"
 
 
@@ -189,8 +194,12 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         F.col("norm").cast("binary").alias("norm"), F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
     )
     missing = F.lit(2**63 - 1).cast("long")
-    owners = text_owners(keyed).withColumn("keep_id", F.nullif("keep_id", missing))
+    # written once: the hot texts are told from it, and the rows then meet their owners
+    owners = written(text_owners(keyed).withColumn("keep_id", F.nullif("keep_id", missing)).drop("length"), "owners")
+    total = owners.agg(F.sum("group_size")).first()[0] or 1
+    share = F.col("group_size") * F.lit(HOT_SHARE) / F.lit(total)
+    hot = owners.filter(share > 1).select("text_sha256", F.ceil(share).cast("int").alias("_salts"))
     lean = rows.select("doc_id", "text_sha256")
-    return lean.join(owners.drop("length"), "text_sha256").select(
+    return salted_join(lean, owners, ["text_sha256"], hot=hot).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
