@@ -491,7 +491,7 @@ def content_inventory(t):
 
 
 @query("s25_json_documents", """
-SELECT event_id, CASE WHEN event_id % 41 = 0 THEN 'duplicate_key' WHEN event_id % 43 = 0 THEN 'non_finite' WHEN event_id % 47 = 0 THEN 'malformed' END AS violation FROM events
+SELECT event_id, CASE WHEN event_id % 41 = 0 THEN 'duplicate_key' WHEN event_id % 43 = 0 THEN 'non_finite' WHEN event_id % 47 = 0 OR event_id % 53 = 0 OR event_id % 59 = 0 THEN 'malformed' WHEN event_id % 61 = 0 THEN 'missing' END AS violation FROM events
 """)
 def json_documents(t):
     key = F.col("event_id")
@@ -500,6 +500,10 @@ def json_documents(t):
         F.when(key % 41 == 0, F.lit('{"a": {"k": 1, "k": 2}}'))
         .when(key % 43 == 0, F.lit('{"a": [NaN]}'))
         .when(key % 47 == 0, F.lit('{"a": oops}'))
+        .when(key % 53 == 0, F.lit('{"a": 1} {"b": 2}'))
+        .when(key % 59 == 0, F.lit("{'a': 1}"))
+        .when(key % 61 == 0, F.lit(None).cast("string"))
+        .when(key % 67 == 0, F.lit('{"a": "NaN, \\"Infinity"}'))
         .otherwise(inner)
     )
     return t.read("events").select("event_id", documents.json_violation(text).alias("violation"))

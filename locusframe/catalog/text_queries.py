@@ -34,18 +34,19 @@ def conversation_detectors(t):
 
 
 @query("sc21_path_tokens", """
-SELECT event_id, '{"path": "$INTEGRATION_ROOT/run/' || event_id || '", "home": "$USER_HOME/x", "props": ' || props || '}' AS "value" FROM events
+SELECT event_id, '{"path": "$INTEGRATION_ROOT/run/' || event_id || '", "home": "$USER_HOME/x", "/srv/key": "/srvs/x and $USER_HOME", "not": "a/srv/work", "props": ' || props || '}' AS "value" FROM events
 """)
 def path_tokens(t):
-    value = F.concat(F.lit('{"path": "/srv/work/run/'), "event_id", F.lit('", "home": "/srv/x", "props": '), "props", F.lit("}"))
+    value = F.concat(F.lit('{"path": "/srv/work/run/'), "event_id", F.lit('", "home": "/srv/x", "/srv/key": "/srvs/x and /srv", "not": "a/srv/work", "props": '), "props", F.lit("}"))
     return t.read("events").select("event_id", text.redact(value, {"/srv": "$USER_HOME", "/srv/work": "$INTEGRATION_ROOT"}).alias("value"))
 
 
 @query("sc20_credential_keys", """
-SELECT event_id, event_id % 37 = 0 AS credential FROM events
+SELECT event_id, event_id % 37 = 0 OR event_id % 41 = 0 AS credential FROM events
 """)
 def credential_keys(t):
-    body = F.concat(F.when(F.col("event_id") % 37 == 0, '{"Api_Key": 1, "p": ').otherwise('{"n": 1, "p": '), "props", F.lit("}"))
+    body = F.concat(F.when(F.col("event_id") % 37 == 0, '{"Api_Key": 1, "p": ').when(F.col("event_id") % 41 == 0, '{"n": [{"m": {"Password" : 1}}], "p": ').when(
+        F.col("event_id") % 43 == 0, '{"n": "a \\"secret\\": x", "p": ').otherwise('{"n": 1, "p": '), "props", F.lit("}"))
     return t.read("events").select("event_id", F.exists(text.json_key_names(body), lambda k: k.rlike(text.CREDENTIAL_NAME)).alias("credential"))
 
 
@@ -77,12 +78,20 @@ def version_token(t):
 
 
 @query("sc29_command_flags", """
-SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS customer FROM orders
+SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS customer, CASE WHEN o_orderkey % 9 <> 0 THEN 'v' || o_custkey END AS k2,
+       CASE WHEN o_orderkey % 9 <> 0 THEN 'all-records,ref-overlap' END AS switches,
+       CASE WHEN o_orderkey % 9 <> 0 THEN CASE WHEN o_orderkey % 4 = 0 THEN 'odd1,zeta' ELSE '' END END AS unlisted FROM orders
 """)
 def command_flags(t):
     key = F.col("o_orderkey")
-    command = F.concat(F.lit("tool run --customer="), "o_custkey", F.lit(" --out x.vcf"), F.when(key % 9 == 0, " --out y.vcf").otherwise(""))
-    return t.read("orders").select("o_orderkey", text.command_flags(command)["customer"].alias("customer"))
+    command = F.concat(F.lit("tool run --all-records --ref-overlap --customer="), "o_custkey", F.lit(" --out x.vcf --k2  v"), "o_custkey", F.when(key % 4 == 0, " --zeta --odd1=a=b").otherwise(""), F.when(key % 9 == 0, " --out y.vcf").otherwise(""))
+    flags, allowed = text.command_flags(command), ["all-records", "ref-overlap", "customer", "out", "k2"]
+    bare = F.filter(F.map_keys(flags), lambda name: flags[name].isNull() & name.isin(allowed))
+    joined = lambda names: F.when(flags.isNotNull(), F.array_join(F.array_sort(names), ","))
+    return t.read("orders").select(
+        "o_orderkey", flags["customer"].alias("customer"), flags["k2"].alias("k2"),
+        joined(bare).alias("switches"), joined(text.unlisted_flags(command, allowed)).alias("unlisted"),
+    )
 
 
 @query("sc30_cache_identity", """

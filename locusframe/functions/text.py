@@ -32,6 +32,7 @@ IDENTIFIER = r"^[A-Za-z0-9][A-Za-z0-9._-]*$"
 SHA256 = r"^[0-9a-f]{64}$"
 PINNED_IMAGE = rf"^[^{SPACE}]+@sha256:([0-9a-f]{{64}})$"
 NAME_SEGMENT = r"^[A-Za-z_][A-Za-z0-9_]*$"
+FLAG = r"^--([A-Za-z][A-Za-z0-9_-]*)(?:=|$)"
 
 
 def redact_urls(text: Column) -> Column:
@@ -40,9 +41,14 @@ def redact_urls(text: Column) -> Column:
 
 
 def replace_roots(text: Column, roots: dict[str, str]) -> Column:
-    """Replace literal path prefixes by tokens, longest prefix first."""
+    """Replace path prefixes by tokens, longest prefix first.
+
+    A prefix counts only as whole path segments. Object keys of JSON text stay as they are.
+    """
     for prefix in sorted(roots, key=len, reverse=True):
-        text = F.replace(text, F.lit(prefix), F.lit(roots[prefix]))
+        whole = rf"(?<![A-Za-z0-9._/-])\Q{prefix}\E(?![A-Za-z0-9._-])"
+        value = r"(?![^\"\\]*+\"[ \t\r\n]*:)"
+        text = F.regexp_replace(text, whole + value, roots[prefix].replace("\\", "\\\\").replace("$", "\\$"))
     return text
 
 
@@ -56,8 +62,9 @@ def hits(text: Column, detectors: dict[str, str] = DETECTORS) -> Column:
 
 
 def json_key_names(text: Column) -> Column:
-    """Top-level key names of a JSON object."""
-    return F.json_object_keys(text)
+    """Key names of a JSON document at any depth; quotes inside a string value are escaped, so only a key
+    has its closing quote before a colon."""
+    return F.regexp_extract_all(text, F.lit(r'"([^"\\]*+)"[ \t\r\n]*:'), F.lit(1))
 
 
 def bounded(value: Column, allowed: str) -> Column:
@@ -108,11 +115,26 @@ def key_values(text: Column, separator: str = ",") -> Column:
 
 
 def command_flags(command: Column) -> Column:
-    """``--name value`` and ``--name=value`` pairs as a map; null when a flag repeats."""
-    pattern = F.lit(rf"--([A-Za-z][A-Za-z_-]*)(?:=|[ \t]+)([^{SPACE}]+)")
-    names = F.regexp_extract_all(command, pattern, F.lit(1))
-    values = F.regexp_extract_all(command, pattern, F.lit(2))
-    return F.when(F.size(F.array_distinct(names)) == F.size(names), F.map_from_arrays(names, values))
+    """``--name value``, ``--name=value`` and bare ``--name`` switches as a map; null when a flag repeats.
+
+    A switch has a null value: a token that opens another flag is never a value.
+    """
+    words = F.filter(F.split(command, rf"[{SPACE}]+"), lambda w: w != "")
+    opens = lambda w: w.rlike(FLAG)
+
+    def read(word: Column, at: Column) -> Column:
+        after = F.get(words, at + 1)
+        value = F.when(word.contains("="), F.regexp_replace(word, "^[^=]*=", "")).when(~opens(after), after)
+        return F.when(opens(word), F.struct(F.regexp_extract(word, FLAG, 1).alias("name"), value.alias("value")))
+
+    found = F.array_compact(F.transform(words, read))
+    names = F.transform(found, lambda f: f["name"])
+    return F.when(F.size(F.array_distinct(names)) == F.size(names), F.map_from_arrays(names, F.transform(found, lambda f: f["value"])))
+
+
+def unlisted_flags(command: Column, allowed: list[str]) -> Column:
+    """Flags of a command that its allow-list does not name, sorted; null when a flag repeats."""
+    return F.array_sort(F.array_except(F.map_keys(command_flags(command)), F.array(*[F.lit(a) for a in allowed])))
 
 
 def safe_relative_path(path: Column) -> Column:
