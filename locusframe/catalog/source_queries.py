@@ -185,19 +185,22 @@ def sequence_slices(t):
     return fasta.windows(sites, t.chunks, "rid", max_span=50).select("rid", "window")
 
 
-view("gtfsrc", """
+view("gtfall", """
 SELECT o_orderkey + 1 AS line_no, 'chr' || (o_custkey % 24 + 1) AS contig, o_orderkey * 8 AS "start", o_orderkey * 8 + 10 + o_custkey % 40 AS "end",
        ['CDS', 'stop_codon', 'UTR', 'exon'][o_orderkey % 4 + 1] AS feature, o_custkey, o_orderkey, length
-FROM orders JOIN contigs ON contigs.contig = 'chr' || (o_custkey % 24 + 1)
+FROM orders LEFT JOIN contigs ON contigs.contig = 'chr' || (o_custkey % 24 + 1)
 """)
+view("gtfsrc", "SELECT * FROM gtfall WHERE length IS NOT NULL AND o_orderkey % 23 <> 0 AND o_orderkey % 29 <> 0")
 
 
 @query("s10_annotation_rows", """
-SELECT line_no, contig, feature, "start", "end", CASE WHEN o_orderkey % 17 = 0 OR o_orderkey % 19 = 0 THEN 'biotype' WHEN "end" > length THEN 'bounds' END AS violation
-FROM gtfsrc WHERE feature IN ('CDS', 'stop_codon') AND (o_orderkey % 17 = 0 OR o_orderkey % 19 = 0 OR o_custkey % 5 <> 0)
+SELECT line_no, contig, feature, CAST(CASE WHEN o_orderkey % 23 <> 0 THEN "start" END AS DOUBLE) AS "start", "end",
+       CASE WHEN o_orderkey % 29 = 0 THEN 'column_count' WHEN o_orderkey % 17 = 0 OR o_orderkey % 19 = 0 THEN 'biotype'
+            WHEN o_orderkey % 23 = 0 THEN 'integer' WHEN "end" > length THEN 'bounds' END AS violation
+FROM gtfall WHERE o_orderkey % 29 = 0 OR (length IS NOT NULL AND feature IN ('CDS', 'stop_codon') AND (o_orderkey % 17 = 0 OR o_orderkey % 19 = 0 OR o_custkey % 5 <> 0))
 """)
 def annotation_rows(t):
-    return gtf.coding_features(gtf.parse_gtf(_gtf(t)), t.contigs).select("line_no", "contig", "feature", "start", "end", "violation")
+    return gtf.coding_features(gtf.parse_gtf(_gtf(t)), t.contigs).select("line_no", "contig", "feature", F.col("start").cast("double").alias("start"), "end", "violation")
 
 
 @query("p01_coding_selection", """
@@ -219,8 +222,8 @@ def _gtf(t):
     )
     feature = F.element_at(F.array(*[F.lit(x) for x in ("CDS", "stop_codon", "UTR", "exon")]), (_key() % 4 + 1).cast("int"))
     text = F.concat_ws(
-        "\t", F.concat(F.lit("chr"), F.col("o_custkey") % 24 + 1), F.lit("src"), feature, _key() * 8 + 1,
-        _key() * 8 + 10 + F.col("o_custkey") % 40, F.lit("."), F.lit("+"), F.lit("0"), attributes,
+        "\t", F.concat(F.lit("chr"), F.col("o_custkey") % 24 + 1), F.lit("src"), feature, F.when(_key() % 23 == 0, "x").otherwise((_key() * 8 + 1).cast("string")),
+        _key() * 8 + 10 + F.col("o_custkey") % 40, F.lit("."), F.lit("+"), F.lit("0"), F.when(_key() % 29 != 0, attributes),
     )
     return as_lines(t.read("orders"), text, _key() + 1, "genes.gtf")
 
@@ -305,14 +308,14 @@ def _vcf(t):
     fmt = F.when(F.col("l_partkey") % 4 == 0, "GT").otherwise("GT:DP:GQ")
     call = F.when(F.col("l_partkey") % 4 == 0, F.col("gt")).otherwise(F.concat_ws(":", "gt", F.col("l_partkey") % 90))
     text = F.concat_ws(
-        "\t", "contig", "pos", "row_id", "ref", F.array_join("alts", ","), F.when(F.col("l_partkey") % 6 == 0, ".").otherwise(F.concat(F.col("l_partkey") % 100, F.lit(".5"))),
+        "\t", "contig", "pos", "row_id", "ref", F.array_join("alts", ","), F.when(F.col("l_partkey") % 6 == 0, ".").when(F.col("l_partkey") % 83 == 0, "high").otherwise(F.concat(F.col("l_partkey") % 100, F.lit(".5"))),
         "filter", info, fmt, call,
     )
     return as_lines(v, text, F.col("l_orderkey") + 1, "calls.vcf")
 
 
 @query("s13_vcf_records", """
-SELECT row_id, contig, pos, ref, array_to_string(alts, ',') AS alts, gt, CAST(NULL AS VARCHAR) AS violation FROM vraw
+SELECT row_id, contig, pos, ref, array_to_string(alts, ',') AS alts, gt, CASE WHEN l_partkey % 83 = 0 AND l_partkey % 6 <> 0 THEN 'qual' END AS violation FROM vraw
 """)
 def vcf_records(t):
     parsed = vcf.parse_vcf(_vcf(t))
@@ -320,7 +323,7 @@ def vcf_records(t):
 
 
 @query("s14_native_records", """
-SELECT row_id, CASE WHEN l_partkey % 6 = 0 THEN NULL ELSE l_partkey % 100 + 0.5 END AS qual,
+SELECT row_id, CASE WHEN l_partkey % 6 <> 0 AND l_partkey % 83 <> 0 THEN l_partkey % 100 + 0.5 END AS qual,
        CASE WHEN l_partkey % 3 = 0 THEN pos + 20 ELSE pos + length(ref) - 1 END AS "end",
        CASE WHEN l_partkey % 4 <> 0 THEN CAST(l_partkey % 90 AS VARCHAR) END AS dp FROM vraw
 """)
@@ -351,11 +354,11 @@ def trace(t):
 
 
 @query("s16_samplesheet", """
-SELECT c_custkey + 1 AS line_no, 's' || c_custkey AS sample, CASE WHEN c_custkey % 11 = 0 THEN 'column_count' END AS violation FROM customer
+SELECT c_custkey + 1 AS line_no, CASE WHEN c_custkey % 7 = 0 THEN 's,' ELSE 's' END || c_custkey AS sample, CASE WHEN c_custkey % 11 = 0 THEN 'column_count' END AS violation FROM customer
 """)
 def samplesheet(t):
     key = F.col("c_custkey")
-    text = F.concat_ws(",", F.concat(F.lit("s"), key), F.lit("lib"), F.lit("L1"), F.when(key % 11 == 0, "surplus"))
+    text = F.concat_ws(",", F.when(key % 7 == 0, F.concat(F.lit('"s,'), key, F.lit('"'))).otherwise(F.concat(F.lit("s"), key)), F.lit("lib"), F.lit("L1"), F.when(key % 11 == 0, "surplus"))
     rows = reports.parse_samplesheet(as_lines(t.read("customer"), text, key + 1, "samples.csv"), ["sample", "library", "lane"])
     return rows.select("line_no", "sample", "violation")
 
@@ -461,12 +464,13 @@ def depth_rows(t):
 
 
 @query("s22_index_counts", """
-SELECT 'ctg' || o_custkey AS contig, count(*) * 10 AS length, max(o_orderkey) AS mapped, min(o_orderkey) AS unmapped FROM orders GROUP BY o_custkey
+SELECT 'ctg' || o_custkey AS contig, CAST(CASE WHEN o_custkey % 13 <> 0 THEN count(*) * 10 END AS DOUBLE) AS length, max(o_orderkey) AS mapped, CAST(CASE WHEN o_custkey % 17 <> 0 THEN min(o_orderkey) END AS DOUBLE) AS unmapped,
+       CASE WHEN o_custkey % 17 = 0 THEN 'column_count' WHEN o_custkey % 13 = 0 THEN 'length' END AS violation FROM orders GROUP BY o_custkey
 """)
 def index_counts(t):
     rows = _scaffolds(t)
-    text = F.concat_ws("\t", F.concat(F.lit("ctg"), "o_custkey"), F.col("n") * 10, "last", "first")
-    return reports.parse_index_counts(as_lines(rows, text, F.col("o_custkey"), "idxstats")).drop("source")
+    text = F.concat_ws("\t", F.concat(F.lit("ctg"), "o_custkey"), F.when(F.col("o_custkey") % 13 == 0, "-").otherwise((F.col("n") * 10).cast("string")), "last", F.when(F.col("o_custkey") % 17 != 0, F.col("first")))
+    return reports.parse_index_counts(as_lines(rows, text, F.col("o_custkey"), "idxstats")).drop("source").withColumns({c: F.col(c).cast("double") for c in ("length", "unmapped")})
 
 
 @query("s23_file_inventory", """

@@ -257,7 +257,7 @@ SELECT event_id, CASE WHEN event_id % 5 > 1 THEN CAST(event_id AS DOUBLE) + 0.25
 """)
 def number_parse(t):
     plain = F.concat(_key().cast("string"), F.lit(".25"))
-    bad = F.element_at(F.array(F.lit("-3"), F.lit("1.5 GB"), F.lit("NaN"), F.lit("1e3")), (_key() % 4 + 1).cast("int"))
+    bad = F.element_at(F.array(F.lit("-3"), F.lit("1.5 GB"), F.lit("NaN"), F.lit("1e3"), F.lit("9" * 24)), (F.floor(_key() / 5) % 5 + 1).cast("int"))
     gone = F.element_at(F.array(F.lit(""), F.lit("-"), F.lit("NA")), (_key() % 3 + 1).cast("int"))
     raw = F.when(_key() % 5 == 0, gone).when(_key() % 5 == 1, bad).otherwise(plain)
     return t.read("events").select("event_id", raw.alias("raw")).select(

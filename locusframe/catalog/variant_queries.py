@@ -47,8 +47,12 @@ BROKEN = """CASE WHEN l_partkey % 101 = 0 THEN 'position' WHEN l_partkey % 103 =
 
 @query("p08_variant_validity", f"""SELECT row_id, {BROKEN} AS "rule" FROM vraw WHERE {BROKEN} IS NOT NULL""")
 def variant_validity(t):
+    return _damaged(t).select("row_id", first_broken(record_rules()).alias("rule")).filter("rule is not null")
+
+
+def _damaged(t):
     alt = F.get("alts", F.lit(0))
-    damaged = t.variants.withColumns(
+    return t.variants.withColumns(
         {
             "pos": F.when(_part() % 101 == 0, 0).otherwise(F.col("pos")),
             "alts": F.when(_part() % 107 == 0, F.array(F.lit("<DEL>"))).when(_part() % 109 == 0, F.array("ref")).when(
@@ -56,7 +60,6 @@ def variant_validity(t):
             "gt": F.when(_part() % 127 == 0, "x/1").when(_part() % 131 == 0, "0/5").otherwise(F.col("gt")),
         }
     ).withColumn("ref", F.when(_part() % 103 == 0, F.concat("ref", F.lit("N"))).otherwise(F.col("ref")))
-    return damaged.select("row_id", first_broken(record_rules()).alias("rule")).filter("rule is not null")
 
 
 @query("s14_native_rules", """
@@ -87,7 +90,7 @@ WHERE coalesce(substr(r.bases, CAST((v.pos - 1) % 8 + 1 AS INTEGER), length(v.re
 
 @query("j11_reference_check", "SELECT row_id, contig, pos, ref FROM refbad")
 def reference_check(t):
-    return variants.reference_mismatches(t.variants, t.chunks, "row_id", max_span=2).select("row_id", "contig", "pos", "ref")
+    return variants.reference_mismatches(t.variants, t.chunks, "row_id").select("row_id", "contig", "pos", "ref")
 
 
 def _known_sites(t):
@@ -224,7 +227,7 @@ WHERE NOT list_contains(string_split_regex(gt, '[/|]'), '.') AND len(string_spli
 
 
 def _good(t):
-    return variants.check_reference(t.variants, t.chunks, "row_id", max_span=2).filter("ref_ok").drop("ref_ok")
+    return variants.check_reference(t.variants, t.chunks, "row_id").filter("ref_ok").drop("ref_ok")
 
 
 @query("sc08_left_alignment", "SELECT row_id, contig, pos, ref, alt FROM valigned WHERE length(ref) <> length(alt)")
@@ -235,11 +238,18 @@ def left_alignment(t):
 
 @query("c03_normalize_calls", "SELECT row_id, contig, pos, ref, alt, alt_copies FROM vnormal")
 def normalize_calls(t):
-    return benchmark.normalize(t.variants, t.chunks, max_span=2).select(
+    return benchmark.normalize(t.variants, t.chunks).select(
         "row_id", "contig", "pos", "ref", "alt", F.col("alt_copies").cast("bigint").alias("alt_copies")
     )
 
 
+@query("c03_rejected_calls", f"""
+SELECT row_id, {BROKEN} AS "rule" FROM vraw WHERE {BROKEN} IS NOT NULL UNION ALL SELECT row_id, 'reference' FROM refbad WHERE {BROKEN} IS NULL
+""")
+def rejected_calls(t):
+    return benchmark.rejected(_damaged(t), t.chunks)
+
+
 @query("o03_variant_order", "SELECT contig_idx, pos, ref, alt, row_id FROM vsplit JOIN contigs USING (contig)")
 def variant_order(t):
     rows = variants.split_alleles(t.variants).join(t.contigs.select("contig", "contig_idx"), "contig")
@@ -361,7 +371,7 @@ SELECT * FROM (SELECT s.site_id, v.row_id, row_number() OVER (PARTITION BY s.sit
 """)
 def bounded_diagnostics(t):
     ended = t.variants.withColumn("end", F.col("pos") + 20)
-    return variants.bounded_diagnostics(ended, _sites(t), "row_id")
+    return variants.bounded_diagnostics(ended, _sites(t), "row_id", rows=4)
 
 
 @query("j15_site_oracle", """
@@ -448,7 +458,7 @@ FROM (VALUES ('SNP'), ('INDEL'), ('OTHER')) c(variant_class) LEFT JOIN (
 
 
 def _calls(t):
-    return benchmark.normalize(t.variants, t.chunks, max_span=2)
+    return benchmark.normalize(t.variants, t.chunks)
 
 
 @query("c04_benchmark", METRICS.replace("{source}", "nclasses"))

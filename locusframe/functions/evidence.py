@@ -26,8 +26,8 @@ def number(raw: Column) -> Column:
 
 
 def malformed_number(raw: Column) -> Column:
-    """Present but not a plain decimal (signs, exponents, NaN and human units all fail)."""
-    return ~absent(raw) & ~F.coalesce(raw.rlike(NUMBER), F.lit(False))
+    """Present but not a plain decimal (signs, exponents, NaN, human units and numbers too large all fail)."""
+    return ~absent(raw) & number(raw).isNull()
 
 
 def missing_reason(raw: Column, field: str) -> Column:

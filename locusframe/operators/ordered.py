@@ -104,27 +104,15 @@ def running(
 def following(df: DataFrame, keys: list[str], order: str, out: str, width: int = WIDTH) -> DataFrame:
     """Add the next larger order value inside ``keys`` (null on the last row).
 
-    Every row but the last of a tile finds it in its own tile. That last row, and the first row of
-    each tile that answers it, meet in one narrow lane per key: at most two rows per tile.
+    Every row but the last of a tile finds it in its own tile; the last one takes the first value of the
+    next tile, which the summary of the tiles tells. The rows stay where they are dealt already.
     """
     tiled = df if TILE in df.columns else _tiled(df, keys, order, width)
+    first = tiled.groupBy(*keys, TILE).agg(F.min(order).alias("_first"))
+    later = F.lead("_first").over(Window.partitionBy(*keys).orderBy(TILE)).alias("_later")
+    joined = _join_carry(tiled, first.select(*keys, TILE, later), keys)
     local = Window.partitionBy(*keys, TILE).orderBy(order)
-    first, last = F.lag(order).over(local).isNull(), F.lead(order).over(local).isNull()
-    seen = tiled.withColumns({"_next": F.lead(order).over(local), "_first": first, "_last": last})
-    # A tile's first row answers for it in the lane; a last row asks there. Other rows stay put.
-    roles = F.when(F.col("_first") & F.col("_last"), F.array(F.lit("both"))).when(
-        F.col("_first"), F.array(F.lit("answer"), F.lit("done"))
-    ).when(F.col("_last"), F.array(F.lit("ask"))).otherwise(F.array(F.lit("done")))
-    spread = seen.withColumn("_role", F.explode(roles)).withColumn(
-        TILE, F.when(F.col("_role") == "done", F.col(TILE)).otherwise(F.lit(-1).cast("bigint"))
-    )
-    lane = Window.partitionBy(*keys, TILE).orderBy(order)
-    return (
-        spread.withColumn("_lane", F.lead(order).over(lane))
-        .filter("_role <> 'answer'")
-        .withColumn(out, F.when(F.col("_role") == "done", F.col("_next")).otherwise(F.col("_lane")))
-        .drop(TILE, "_next", "_first", "_last", "_role", "_lane")
-    )
+    return joined.withColumn(out, F.coalesce(F.lead(order).over(local), F.col("_later"))).drop(TILE, "_later")
 
 
 def previous(

@@ -18,21 +18,17 @@ from .ordered import Running, running
 from .rules import Rule
 
 
-def check_reference(
-    variants: DataFrame, chunk_table: DataFrame, row_id: str, size: int = CHUNK, max_span: int | None = None
-) -> DataFrame:
-    """Add ``ref_ok``: REF is what the reference holds there (``max_span`` as in ``windows``)."""
+def check_reference(variants: DataFrame, chunk_table: DataFrame, row_id: str, size: int = CHUNK) -> DataFrame:
+    """Add ``ref_ok``: REF, of whatever length, is what the reference holds there."""
     placed = variants.withColumns({"start": F.col("pos") - 1, "end": F.col("pos") - 1 + F.length("ref")})
-    seen = windows(placed, chunk_table, row_id, size, max_span=max_span, how="left")
+    seen = windows(placed, chunk_table, row_id, size, how="left")
     ok = F.coalesce(F.upper("window") == F.col("ref"), F.lit(False)) & (F.col("pos") >= 1)
     return seen.withColumn("ref_ok", ok).select(*variants.columns, "ref_ok")
 
 
-def reference_mismatches(
-    variants: DataFrame, chunk_table: DataFrame, row_id: str, size: int = CHUNK, max_span: int | None = None
-) -> DataFrame:
+def reference_mismatches(variants: DataFrame, chunk_table: DataFrame, row_id: str, size: int = CHUNK) -> DataFrame:
     """Variants whose REF is not what the reference holds at that place (or lies off it)."""
-    return check_reference(variants, chunk_table, row_id, size, max_span).filter(~F.col("ref_ok")).drop("ref_ok")
+    return check_reference(variants, chunk_table, row_id, size).filter(~F.col("ref_ok")).drop("ref_ok")
 
 
 def split_alleles(variants: DataFrame) -> DataFrame:
@@ -223,7 +219,7 @@ def site_oracle(records: DataFrame, sites: DataFrame) -> DataFrame:
     )
 
 
-def bounded_diagnostics(records: DataFrame, sites: DataFrame, row_id: str, rows: int = 4) -> DataFrame:
+def bounded_diagnostics(records: DataFrame, sites: DataFrame, row_id: str, rows: int) -> DataFrame:
     """At most ``rows`` overlapping records per site, with the total and a truncation flag.
 
     The total is a plain count; the shown rows come from a rank inside ``(site, bucket)`` first and

@@ -34,11 +34,12 @@ def coding_features(rows: DataFrame, contigs: DataFrame) -> DataFrame:
     """CDS and stop codons of protein-coding genes, each row kept or tagged with a violation.
 
     Both biotypes must appear exactly once; a non-coding biotype drops the row, an absent or
-    repeated one is a violation.
+    repeated one is a violation. Rows on a contig that is not listed are dropped, malformed lines never.
     """
     chosen = (
         rows.filter(F.col("feature").isin("CDS", "stop_codon") | F.col("violation").isNotNull())
-        .join(contigs.select("contig", "contig_idx", "length"), "contig")
+        .join(contigs.select("contig", "contig_idx", "length"), "contig", "left")
+        .filter(F.col("length").isNotNull() | F.col("violation").isNotNull())
         .withColumns({"_gene": attribute("gene_type"), "_transcript": attribute("transcript_type")})
     )
     single = (F.size("_gene") == 1) & (F.size("_transcript") == 1)
@@ -46,6 +47,7 @@ def coding_features(rows: DataFrame, contigs: DataFrame) -> DataFrame:
     rules = [
         Rule("column_count", F.col("violation").isNotNull()),
         Rule("biotype", ~single),
+        Rule("integer", F.col("start").isNull() | F.col("end").isNull()),
         Rule("bounds", ~((F.col("start") >= 0) & (F.col("start") < F.col("end")) & (F.col("end") <= F.col("length")))),
     ]
     return chosen.filter(F.col("violation").isNotNull() | ~single | coding).select(

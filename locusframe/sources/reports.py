@@ -48,7 +48,8 @@ def parse_trace(raw: DataFrame, attribution: dict[str, str]) -> DataFrame:
     typed = raw.select(
         F.col("task_id").alias("_task"),
         F.when(F.col("task_id").rlike("^[1-9][0-9]*$"), F.col("task_id").try_cast("bigint")).alias("task_id"),
-        number(attempt).cast("int").alias("attempt"),
+        F.when(number(attempt) == F.floor(number(attempt)), number(attempt).try_cast("int")).alias("attempt"),
+        attempt.alias("_attempt"),
         "name",
         process.alias("process"),
         F.try_element_at(groups, process).alias("group"),
@@ -73,9 +74,9 @@ def parse_trace(raw: DataFrame, attribution: dict[str, str]) -> DataFrame:
         Rule("number", F.size("_bad") > 0),
         Rule("integral", fractional),
         Rule("cpus", F.col("cpus") < 1),
-        Rule("attempt", F.col("attempt") < 1),
+        Rule("attempt", (F.col("attempt") < 1) | (F.col("attempt").isNull() & ~absent(F.col("_attempt")))),
     ]
-    return typed.withColumn("violation", first_broken(rules)).drop("_task", "_bad", "exit")
+    return typed.withColumn("violation", first_broken(rules)).drop("_task", "_attempt", "_bad", "exit")
 
 
 def repeated_attempts(tasks: DataFrame) -> DataFrame:
@@ -196,22 +197,22 @@ def parse_file_inventory(lines: DataFrame) -> DataFrame:
 
 
 def parse_index_counts(lines: DataFrame) -> DataFrame:
-    """Index-count table ``contig, length, mapped, unmapped``."""
-    return lines.select(
+    """Index-count table ``contig, length, mapped, unmapped``; a count is a plain whole number."""
+    counts = ("length", "mapped", "unmapped")
+    parts = lines.select(
         "source",
         field(0).alias("contig"),
-        field(1).try_cast("bigint").alias("length"),
-        field(2).try_cast("bigint").alias("mapped"),
-        field(3).try_cast("bigint").alias("unmapped"),
+        *[F.when(field(i + 1).rlike("^[0-9]+$"), field(i + 1).try_cast("bigint")).alias(name) for i, name in enumerate(counts)],
+        field_count().alias("_n"),
     )
-
-
+    rules = [Rule("column_count", F.col("_n") != 4), *[Rule(name, F.col(name).isNull()) for name in counts]]
+    return parts.withColumn("violation", first_broken(rules)).drop("_n")
 
 
 def parse_samplesheet(lines: DataFrame, columns: list[str]) -> DataFrame:
-    """Comma-separated samplesheet lines (header excluded) with a closed column list."""
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    wide = F.size(F.split("value", ",", -1)) != len(columns)
-    return lines.select("source", "line_no", F.from_csv("value", schema).alias("r"), F.when(wide, "column_count").alias("violation")).select(
-        "source", "line_no", "r.*", "violation"
+    """Comma-separated samplesheet lines (header excluded) with a closed column list; fields may be quoted."""
+    schema = ", ".join(f"`{c}` string" for c in [*columns, "_broken"])
+    parsed = F.from_csv("value", schema, {"columnNameOfCorruptRecord": "_broken"})
+    return lines.select("source", "line_no", parsed.alias("r")).select(
+        "source", "line_no", *[F.col(f"r.`{c}`") for c in columns], F.when(F.col("r._broken").isNotNull(), "column_count").alias("violation")
     )

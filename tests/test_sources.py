@@ -5,9 +5,10 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from locusframe.functions import text
 from locusframe.operators import reads as rd
 from locusframe.operators.skew import salted_join
-from locusframe.sources import bed, fasta, files, gtf, lines, sinks
+from locusframe.sources import bed, documents, fasta, files, gtf, lines, sinks
 
 
 def test_line_numbers_survive_file_splits(spark, tmp_path):
@@ -96,3 +97,19 @@ def test_mates_count_once_across_tiles(spark):
     spans = rd.depth_over(rd.once_per_fragment(pieces, width=4), domain)
     depth = {r.pos: r.depth for r in rd.depth_rows(spans).collect()}
     assert depth == {p + 1: (2 if p == 5 else 1 if p < 18 else 0) for p in range(20)}
+
+
+def test_text_grammars(spark):
+    line = spark.createDataFrame([("x --all-records --ref-overlap --k2 v --o=a=b", '{"password": {"b": [{"Api_Key": 1}]}, "t": "a \\"secret\\": /srv/x", "/srv": "/srvs"}')], "c string, j string")
+    got = line.select(text.command_flags(F.col("c")).alias("f"), text.json_key_names(F.col("j")).alias("k"), text.replace_roots(F.col("j"), {"/srv": "$R"}).alias("r")).first()
+    assert got.f == {"all-records": None, "ref-overlap": None, "k2": "v", "o": "a=b"}
+    assert got.k == ["password", "b", "Api_Key", "t", "/srv"]
+    assert got.r.endswith('$R/x", "/srv": "/srvs"}')
+
+
+@pytest.mark.parametrize(
+    ("value", "reason"),
+    [("{}", None), ("7", None), ("", "malformed"), (None, "missing"), ('{"a":1,"a":2}', "duplicate_key"), ('[{"a":{"b":1,"b":1}}]', "duplicate_key"), ("[NaN]", "non_finite"), ("-Infinity", "non_finite"), ('{"a":1} x', "malformed"), ('{"a":1},{"b":1}', "malformed"), ('["NaN"]', None), ("{'a':1}", "malformed")],
+)
+def test_json_violation(spark, value, reason):
+    assert spark.createDataFrame([(value,)], "v string").select(documents.json_violation(F.col("v")).alias("r")).first().r == reason

@@ -166,3 +166,16 @@ def test_haplotype_rescue_equals_brute_force(spark):
     for case in wanted:
         kept = sum(r.rescued for r in got if r.row_id.startswith(f"{case}:"))
         assert kept == wanted[case], case
+
+
+def test_long_deletions_and_rejected_records(spark):
+    """A REF longer than a chunk is checked like any other, and nothing leaves without a reason."""
+    draw = random.Random(9)
+    text = "".join(draw.choice("ACGT") for _ in range(2500))
+    table = chunks(spark.createDataFrame([("m", i, text[i : i + 50]) for i in range(0, 2500, 50)], "contig string, start long, bases string"))
+    wrong = "T" if text[29] != "T" else "A"
+    items = [(100, text[99:800], text[99], "0/1"), (30, wrong, "C" if wrong != "C" else "G", "0/1"), (0, "A", "C", "0/1"), (50, "N", "C", "0/1"), (60, text[59], text[59], "1/1")]
+    calls = records(spark, items)
+    kept = benchmark.normalize(calls, table).collect()
+    assert [r.row_id for r in kept] == ["v0"] and len(kept[0].ref) - len(kept[0].alt) == 700
+    assert rows(benchmark.rejected(calls, table), "row_id", "rule") == [("v1", "reference"), ("v2", "position"), ("v3", "ref_alphabet"), ("v4", "alt_equals_ref")]
