@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import basename
@@ -37,38 +37,59 @@ def artifacts(tasks: DataFrame) -> DataFrame:
 def broken_edges(artifact_rows: DataFrame, edges: DataFrame) -> DataFrame:
     """Declared hand-overs whose output and input are absent, ambiguous or differ.
 
-    ``edges``: ``from_process, from_file, to_process, to_file``; both ends share ``label``.
+    ``edges``: ``from_process, from_file, to_process, to_file``; both ends share ``label``. Artifacts meet
+    the edges they belong to, and one group per label and edge tells what was found; a label's edges
+    without any artifact come from the declared list, of which each label only adds what it lacks.
     """
-    def side(name: str, prefix: str) -> DataFrame:
-        return artifact_rows.filter(F.col("side") == name).groupBy(
-            F.col("process").alias(f"{prefix}_process"), "label", F.col("file").alias(f"{prefix}_file")
-        ).agg(
-            F.count(F.lit(1)).alias(f"{prefix}_n"), F.min("sha256").alias(f"{prefix}_sha"), F.min("bytes").alias(f"{prefix}_bytes")
+    names = ["from_process", "from_file", "to_process", "to_file"]
+    edge = F.struct(*names)
+    identity = F.struct("sha256", "bytes")
+
+    def end(side: str, prefix: str) -> DataFrame:
+        declared = edges.select(F.col(f"{prefix}_process").alias("process"), F.col(f"{prefix}_file").alias("file"), edge.alias("edge")).distinct()
+        found = artifact_rows.filter(F.col("side") == side).groupBy("process", "label", "file").agg(
+            F.count(F.lit(1)).alias("n"), F.min(identity).alias("identity")
         )
+        return found.join(declared, ["process", "file"]).select("label", "edge", F.lit(side).alias("side"), "n", "identity")
 
-    labels = artifact_rows.select("label").distinct()
-    wanted = edges.crossJoin(labels)
-    joined = wanted.join(side("output", "from"), ["from_process", "from_file", "label"], "left").join(
-        side("input", "to"), ["to_process", "to_file", "label"], "left"
+    def of(side: str, column: str) -> Column:
+        return F.max(F.when(F.col("side") == side, F.col(column)))
+
+    both = end("output", "from").unionByName(end("input", "to")).groupBy("label", "edge").agg(
+        F.coalesce(of("output", "n"), F.lit(0)).alias("made"), F.coalesce(of("input", "n"), F.lit(0)).alias("read"),
+        of("output", "identity").alias("made_as"), of("input", "identity").alias("read_as"),
     )
     rule = (
-        F.when(F.coalesce("from_n", F.lit(0)) != 1, "output_count")
-        .when(F.coalesce("to_n", F.lit(0)) != 1, "input_count")
-        .when((F.col("from_sha") != F.col("to_sha")) | (F.col("from_bytes") != F.col("to_bytes")), "identity")
-    )
-    return joined.select("label", "from_process", "from_file", "to_process", "to_file", rule.alias("rule")).filter(
-        "rule is not null"
+        F.when(F.col("made") != 1, "output_count")
+        .when(F.col("read") != 1, "input_count")
+        .when(F.col("made_as") != F.col("read_as"), "identity")
     )
+    seen = both.select("label", "edge", rule.alias("rule"))
+    per_label = artifact_rows.select("label", F.lit(None).cast(seen.schema["edge"].dataType).alias("edge")).distinct()
+    known = seen.select("label", "edge").unionByName(per_label).groupBy("label").agg(F.collect_set("edge").alias("_known"))
+    # One row, as long as the list of declared hand-overs.
+    declared = edges.agg(F.collect_set(edge).alias("_all"))
+    absent = known.join(declared).select("label", F.explode(F.array_except("_all", "_known")).alias("edge"), F.lit("output_count").alias("rule"))
+    return seen.filter("rule is not null").unionByName(absent).select("label", *[F.col(f"edge.{c}").alias(c) for c in names], "rule")
 
 
 def asymmetric_inputs(observed: DataFrame, accepted: DataFrame, callers: DataFrame) -> DataFrame:
-    """Every caller must have read exactly the accepted identities (full outer per caller)."""
-    wanted = callers.select("caller").crossJoin(accepted.select("sha256").distinct()).withColumn("_w", F.lit(True))
-    seen = observed.select("caller", "sha256").distinct().withColumn("_s", F.lit(True))
-    rule = F.when(F.col("_s").isNull(), "not_read").when(F.col("_w").isNull(), "not_accepted")
-    return wanted.join(seen, ["caller", "sha256"], "full_outer").select("caller", "sha256", rule.alias("rule")).filter(
-        "rule is not null"
+    """Every caller must have read exactly the accepted identities.
+
+    One group per identity holds the callers that read it, so only what is missing or too much is spelt out.
+    """
+    reads = observed.select("sha256", "caller", F.lit(False).alias("_accepted"))
+    wanted = accepted.select("sha256", F.lit(None).cast("string").alias("caller"), F.lit(True).alias("_accepted"))
+    found = reads.unionByName(wanted).groupBy("sha256").agg(F.collect_set("caller").alias("_by"), F.max("_accepted").alias("_accepted"))
+    # One row, as long as the list of callers.
+    everyone = callers.agg(F.collect_set("caller").alias("_all"))
+    missing = F.when(F.col("_accepted"), F.array_except("_all", "_by")).otherwise(F.array().cast("array<string>"))
+    extra = F.when(F.col("_accepted"), F.array_except("_by", "_all")).otherwise(F.col("_by"))
+    told = F.concat(
+        F.transform(missing, lambda c: F.struct(c.alias("caller"), F.lit("not_read").alias("rule"))),
+        F.transform(extra, lambda c: F.struct(c.alias("caller"), F.lit("not_accepted").alias("rule"))),
     )
+    return found.join(everyone).select("sha256", F.explode(told).alias("t")).select("t.caller", "sha256", "t.rule")
 
 
 def leaks(inputs: DataFrame, forbidden: DataFrame) -> DataFrame:
