@@ -16,6 +16,15 @@ def test_ingest_counts_attempts_once(spark, tmp_path):
     assert rows(spark.table("ingested"), "group", "status", "n") == [("g", "COMPLETED", 1), ("g", "FAILED", 1), ("h", "COMPLETED", 1)]
 
 
+def test_replay_of_unordered_files_loses_no_row(spark, tmp_path):
+    days = ["2024-03-01", "2024-01-01", "2024-02-01"]
+    for i, day in enumerate(days):
+        spark.createDataFrame([(i, f"{day} 00:00:00", 1, "VIEW")], "event_id long, ts string, user_id long, event_type string").selectExpr(
+            "event_id", "cast(ts as timestamp_ntz) ts", "user_id", "event_type").coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+    got = tasks.replay_status_counts(spark, f"{tmp_path}/in/*", files_per_trigger=1)
+    assert rows(got, "group", "status", "n") == [("VIEW", "COMPLETED", 1)] * 3
+
+
 def test_supervisor_alerts_once_per_missed_deadline(spark, tmp_path):
     pytest.importorskip("google.protobuf")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
