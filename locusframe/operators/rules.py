@@ -57,6 +57,15 @@ def first_broken(rules: list[Rule]) -> Column:
     return F.coalesce(*[F.when(r.broken, F.lit(r.name)) for r in rules])
 
 
+def settled(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that later filters take as given.
+
+    A filter on a plain column is rewritten into the rules behind it, and planning a long list of rules
+    takes far longer than the rows do; a generator of one value keeps it whole.
+    """
+    return df.select(*df.columns, F.explode(F.array(value)).alias(name))
+
+
 def check(df: DataFrame, rules: list[Rule], key: Column) -> DataFrame:
     """All broken rules of all rows in one pass: ``(rule, key)``."""
     broken = F.array_compact(F.array(*[F.when(r.broken, F.lit(r.name)) for r in rules]))

@@ -15,7 +15,7 @@ from ..session import reliable_checkpoint
 from ..sources.fasta import CHUNK, windows
 from .intervals import overlap_pairs
 from .ordered import Running, running
-from .rules import Rule
+from .rules import Rule, settled
 
 
 def check_reference(variants: DataFrame, chunk_table: DataFrame, row_id: str, size: int = CHUNK) -> DataFrame:
@@ -23,7 +23,7 @@ def check_reference(variants: DataFrame, chunk_table: DataFrame, row_id: str, si
     placed = variants.withColumns({"start": F.col("pos") - 1, "end": F.col("pos") - 1 + F.length("ref")})
     seen = windows(placed, chunk_table, row_id, size, how="left")
     ok = F.coalesce(F.upper("window") == F.col("ref"), F.lit(False)) & (F.col("pos") >= 1)
-    return seen.withColumn("ref_ok", ok).select(*variants.columns, "ref_ok")
+    return settled(seen, "ref_ok", ok).select(*variants.columns, "ref_ok")
 
 
 def reference_mismatches(variants: DataFrame, chunk_table: DataFrame, row_id: str, size: int = CHUNK) -> DataFrame:
@@ -88,12 +88,13 @@ def _trimmed(variants: DataFrame) -> DataFrame:
     anchored = F.when(
         same_first & (F.length("_r") == 1) & (F.length("_a") > 1), F.substring(F.col("_a"), F.lit(2), F.length("_a"))
     ).when(same_first & (F.length("_a") == 1) & (F.length("_r") > 1), F.substring(F.col("_r"), F.lit(2), F.length("_r")))
-    return cut.withColumns(
+    located = cut.withColumns(
         {
             "_core": F.coalesce(core, anchored),
             "_start": F.col("pos") - 1 + F.when(core.isNull() & anchored.isNotNull(), 1).otherwise(0),
         }
     )
+    return located.drop("_s")
 
 
 def left_align(variants: DataFrame, chunk_table: DataFrame, row_id: str, lookback: int = 64, size: int = CHUNK) -> DataFrame:
@@ -101,39 +102,34 @@ def left_align(variants: DataFrame, chunk_table: DataFrame, row_id: str, lookbac
 
     A pure insertion or deletion of text S of length m moves left by k, the length of the run over
     which the reference before it repeats S with period m: one suffix comparison with repeated S,
-    no step-by-step rewriting. All rows take one join; those that need no reference (SNVs, complex
-    alleles) get scattered keys that match nothing. The pass is checkpointed; rows whose run fills
-    the window are redone with a window eight times as long, so no shift is cut short.
+    no step-by-step rewriting. Only such rows meet the reference; SNVs and complex alleles pass by.
+    The aligned rows are checkpointed; those whose run fills the window are redone with a window eight
+    times as long, so no shift is cut short.
     """
     columns = variants.columns
-    work, reach = _trimmed(variants), lookback
-    finished = []
+    # Written once, as two branches read it: what made the rows is not run twice.
+    trimmed = reliable_checkpoint(_trimmed(variants))
+    needs = F.col("_core").isNotNull() & (F.col("_start") > 0)
+    bare = trimmed.filter(~needs).withColumns({"_window": F.lit(""), "_k": F.lit(0)})
+    finished = [_rewritten(bare).select(*columns)]
+    work, reach = trimmed.filter(needs), lookback
     while True:
-        needs = F.col("_core").isNotNull() & (F.col("_start") > 0)
-        scattered = (-size * (F.pmod(F.xxhash64(row_id), F.lit(1_000_000)) + 1)).cast("bigint")
-        placed = work.withColumns(
-            {
-                "contig_": F.col("contig"),
-                "contig": F.when(needs, F.col("contig")).otherwise(F.concat(F.lit("-"), scattered.cast("string"))),
-                "start": F.col("_start") - reach,
-                "end": F.when(needs, F.col("_start")).otherwise(F.col("_start") - reach),
-            }
-        )
-        seen = windows(placed, chunk_table, row_id, size, max_span=reach if reach <= size else None, how="left")
-        m = F.length("_core")
+        placed = work.withColumns({"start": F.col("_start") - reach, "end": F.col("_start")})
+        span = reach if reach <= size else None
+        seen = windows(placed, chunk_table, row_id, size, max_span=span, how="left")
         window = F.upper(F.coalesce("window", F.lit("")))
         # One base must stay as the anchor, so a shift may use all but the first window base.
         room = F.greatest(F.length("_window") - 1, F.lit(0))
-        copies = F.repeat("_core", (F.col("_room") / m).cast("int") + 1)
+        copies = F.repeat("_core", (F.col("_room") / F.length("_core")).cast("int") + 1)
         periodic = F.substring(copies, -F.col("_room"), F.col("_room"))
-        shift = F.when(F.col("_core").isNotNull() & (F.col("_room") > 0), _common(F.col("_window"), periodic, F.col("_room"), "suffix"))
+        shift = F.when(F.col("_room") > 0, _common(F.col("_window"), periodic, F.col("_room"), "suffix"))
         moved = (
             seen.withColumn("_window", window)
             .withColumn("_room", room)
             .withColumn("_k", F.coalesce(shift, F.lit(0)))
-            .withColumn("contig", F.col("contig_"))
+            .withColumn("_full", (F.col("_room") > 0) & (F.col("_k") == F.col("_room")) & (F.col("start") > 0))
         )
-        moved = reliable_checkpoint(moved.withColumn("_full", (F.col("_room") > 0) & (F.col("_k") == F.col("_room")) & (F.col("start") > 0)))
+        moved = reliable_checkpoint(moved)
         finished.append(_rewritten(moved.filter("not _full")).select(*columns))
         rest = moved.filter("_full").select(*work.columns)
         if rest.isEmpty():

@@ -10,7 +10,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordered import Running, running
@@ -71,29 +71,43 @@ def wrapping_violations(sequence: DataFrame) -> DataFrame:
     )
 
 
+def _text(pieces: Column) -> Column:
+    """Pieces of one stretch, in order, as one text."""
+    return F.array_join(F.transform(F.array_sort(F.collect_list(pieces)), lambda p: p["b"]), "")
+
+
 def chunks(sequence: DataFrame, size: int = CHUNK) -> DataFrame:
-    """Fixed-width chunk table ``(contig, chunk_id, chunk_start, bases)``; groups hold one chunk."""
+    """Fixed-width chunk table ``(contig, chunk_id, chunk_start, bases, ahead)``; groups hold two chunks.
+
+    ``ahead`` is the text of the chunk after it: every piece goes to its own chunk and to the one before,
+    so a site that begins in a chunk finds its bases in one row and the table is never joined to itself.
+    """
     first = F.floor(F.col("start") / size)
     last = F.floor((F.col("start") + F.length("bases") - 1) / size)
     pieces = (
         sequence.filter(F.length("bases") > 0)
-        .select("contig", "start", "bases", F.explode(F.sequence(first, last)).alias("chunk_id"))
-        .withColumn("_from", F.greatest(F.col("start"), F.col("chunk_id") * size))
-        .withColumn(
-            "_to", F.least(F.col("start") + F.length("bases"), (F.col("chunk_id") + 1) * size)
-        )
+        .select("contig", "start", "bases", F.explode(F.sequence(first, last)).alias("_own"))
+        .withColumn("_from", F.greatest(F.col("start"), F.col("_own") * size))
+        .withColumn("_to", F.least(F.col("start") + F.length("bases"), (F.col("_own") + 1) * size))
         .select(
             "contig",
-            "chunk_id",
+            "_own",
             F.struct(
                 F.col("_from"),
                 F.substring("bases", (F.col("_from") - F.col("start") + 1).cast("int"), (F.col("_to") - F.col("_from")).cast("int")).alias("b"),
             ).alias("piece"),
         )
+        .select("contig", "_own", "piece", F.explode(F.sequence(F.greatest(F.col("_own") - 1, F.lit(0)), F.col("_own"))).alias("chunk_id"))
     )
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list("piece")), lambda p: p["b"]), "")
-    return pieces.groupBy("contig", "chunk_id").agg(joined.alias("bases")).select(
-        "contig", "chunk_id", (F.col("chunk_id") * size).alias("chunk_start"), "bases"
+    own = F.col("_own") == F.col("chunk_id")
+    return (
+        pieces.groupBy("contig", "chunk_id")
+        .agg(
+            _text(F.when(own, F.col("piece"))).alias("bases"),
+            _text(F.when(~own, F.col("piece"))).alias("ahead"),
+        )
+        .filter("bases <> ''")
+        .select("contig", "chunk_id", (F.col("chunk_id") * size).alias("chunk_start"), "bases", "ahead")
     )
 
 
@@ -110,8 +124,8 @@ def windows(
 
     With ``how="left"`` sites off the reference stay, with a null window.
 
-    Each chunk is joined with the text of the chunk after it appended, so a site of at most ``size``
-    bases needs one equi-join wherever it lies. Longer sites are stitched by their unique ``row_id``;
+    Each chunk holds the text of the chunk after it too, so a site of at most ``size`` bases needs one
+    equi-join wherever it lies. Longer sites are stitched by their unique ``row_id``;
     a caller that knows its sites are short says so with ``max_span`` and gets the one-join plan (a
     longer site then fails the job rather than losing bases). Set ``piled`` when very many rows may
     share a chunk (reads): chunks with too many rows are salted.
@@ -119,10 +133,7 @@ def windows(
     low = F.greatest(F.col("start"), F.lit(0))
     ranged = sites.withColumn("chunk_id", F.floor(low / size))
     short = F.col("end") - low <= size
-    after = chunk_table.select("contig", (F.col("chunk_id") - 1).alias("chunk_id"), F.col("bases").alias("_next"))
-    long_text = chunk_table.join(after, ["contig", "chunk_id"], "left").select(
-        "contig", "chunk_id", "chunk_start", F.concat("bases", F.coalesce("_next", F.lit(""))).alias("bases")
-    )
+    long_text = chunk_table.select("contig", "chunk_id", "chunk_start", F.concat("bases", "ahead").alias("bases"))
     hot = hot_keys(ranged.select("contig", "chunk_id"), ["contig", "chunk_id"]) if piled else None
 
     def joined(side: DataFrame, text: DataFrame) -> DataFrame:
@@ -146,29 +157,35 @@ def windows(
     begin = F.greatest(low - F.col("chunk_start"), F.lit(0)).cast("int")
     stop = F.least(F.col("end") - F.col("chunk_start"), F.lit(size)).cast("int")
     part = F.substring("bases", begin + 1, F.greatest(stop - begin, F.lit(0)))
-    text = F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.struct("chunk_id", part.alias("b")))), lambda p: p["b"]), ""
-    )
-    stitched = joined(spread, chunk_table).groupBy(row_id).agg(text.alias("window"))
+    text = _text(F.struct("chunk_id", part.alias("b")))
+    stitched = joined(spread, chunk_table.drop("ahead")).groupBy(row_id).agg(text.alias("window"))
     multi = crossing.join(stitched, row_id, how).select(*sites.columns, "window")
     return single.unionByName(multi)
 
 
 def masked_chunks(chunk_table: DataFrame, sites: DataFrame, size: int = CHUNK) -> DataFrame:
     """Lower-case the bases at known positions (0-based ``contig, pos``)."""
+    own = F.floor(F.col("pos") / size)
     offsets = (
-        sites.select("contig", F.floor(F.col("pos") / size).alias("chunk_id"), (F.col("pos") % size).cast("int").alias("o"))
+        sites.select("contig", own.alias("_own"), (F.col("pos") % size).cast("int").alias("o"))
         .distinct()
+        .select("contig", "_own", "o", F.explode(F.array(F.col("_own"), F.col("_own") - 1)).alias("chunk_id"))
         .groupBy("contig", "chunk_id")
-        .agg(F.collect_list("o").alias("_known"))
-    )
-    lowered = F.aggregate(
-        F.coalesce("_known", F.array().cast("array<int>")),
-        F.col("bases"),
-        lambda text, o: F.overlay(text, F.lower(F.substring(text, o + 1, F.lit(1))), o + 1, F.lit(1)),
+        .agg(
+            F.collect_list(F.when(F.col("_own") == F.col("chunk_id"), F.col("o"))).alias("_known"),
+            F.collect_list(F.when(F.col("_own") != F.col("chunk_id"), F.col("o"))).alias("_known_ahead"),
+        )
     )
+
+    def lowered(bases: str, known: str) -> Column:
+        return F.aggregate(
+            F.coalesce(known, F.array().cast("array<int>")),
+            F.col(bases),
+            lambda text, o: F.overlay(text, F.lower(F.substring(text, o + 1, F.lit(1))), o + 1, F.lit(1)),
+        ).alias(bases)
+
     return chunk_table.join(offsets, ["contig", "chunk_id"], "left").select(
-        "contig", "chunk_id", "chunk_start", lowered.alias("bases")
+        "contig", "chunk_id", "chunk_start", lowered("bases", "_known"), lowered("ahead", "_known_ahead")
     )
 
 
