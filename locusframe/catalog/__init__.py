@@ -14,6 +14,7 @@ MODULES = (
     "lineage_queries",
     "text_queries",
     "job_queries",
+    "composite_queries",
 )
 
 

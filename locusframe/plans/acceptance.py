@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import DETECTORS, IDENTIFIER, redact, hits
-from ..operators import lineage
-from ..operators.rules import Rule, check, duplicates
+from ..operators import lineage, matching
+from ..operators.rules import Rule, check, duplicates, first_broken
 
 REQUIRED = ["sample", "library", "lane", "read_group_id", "platform_unit", "fastq_1", "fastq_2"]
 IDENTIFIERS = REQUIRED[:5]
+COUNTS = ["tp_query", "tp_truth", "fp", "fn"]
+SCORES = ["precision", "recall", "f1", "missing_reasons"]
 
 
 def combine(*violations: DataFrame) -> DataFrame:
@@ -77,3 +79,21 @@ def receipts_joined(provider: DataFrame, native: DataFrame, links: DataFrame) ->
     return linked.join(native, ["process", "index", "attempt"], "left").withColumn(
         "observed", F.col("native_id").isNotNull()
     )
+
+
+def scored(counts: DataFrame) -> DataFrame:
+    """Metrics of counts with the reasons as text, the form in which reports record them."""
+    return matching.metrics(counts).withColumn("missing_reasons", F.to_json("missing_reasons"))
+
+
+def metric_violations(recorded: DataFrame, counts: DataFrame, key: str) -> DataFrame:
+    """Recorded metrics whose class is absent or unexpected, whose counts are not the counted ones, or that do not follow from their counts."""
+    again = scored(recorded.select(key, *COUNTS, F.struct(*SCORES).alias("_recorded"), F.lit(True).alias("_have")))
+    counted = counts.select(key, F.struct(*COUNTS).alias("_counts"), F.lit(True).alias("_want"))
+    rules = [
+        Rule("absent", F.col("_have").isNull()),
+        Rule("unexpected", F.col("_want").isNull()),
+        Rule("counts", ~F.struct(*COUNTS).eqNullSafe(F.col("_counts"))),
+        Rule("arithmetic", ~F.struct(*SCORES).eqNullSafe(F.col("_recorded"))),
+    ]
+    return again.join(counted, key, "full_outer").select(key, first_broken(rules).alias("rule")).filter("rule is not null")

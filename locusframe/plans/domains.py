@@ -52,7 +52,21 @@ def construct(annotation: DataFrame, confidence: DataFrame, contigs: DataFrame,
 
 def pin_violations(domains: DataFrame, pins: DataFrame) -> DataFrame:
     """Domains whose interval count or bases differ from the approved numbers."""
-    found = summary(domains).withColumnsRenamed({"intervals": "found_intervals", "bases": "found_bases"})
+    return _pin_differences(summary(domains), pins)
+
+
+def _pin_differences(counted: DataFrame, pins: DataFrame) -> DataFrame:
+    found = counted.withColumnsRenamed({"intervals": "found_intervals", "bases": "found_bases"})
     return pins.join(found, "domain", "left").filter(
         ~(F.col("intervals").eqNullSafe(F.col("found_intervals")) & F.col("bases").eqNullSafe(F.col("found_bases")))
     )
+
+
+def pinned_summary(counted: DataFrame, pins: DataFrame) -> DataFrame:
+    """Every built or pinned domain of a summary with its numbers; ``rule`` tells a wrong, missing or unapproved one."""
+    broken = _pin_differences(counted, pins).select("domain", F.lit("pin").alias("_pin"))
+    approved = pins.select("domain", F.lit(True).alias("_pinned")).join(broken, "domain", "left")
+    return counted.join(approved, "domain", "full_outer").select(
+        "domain", F.coalesce("intervals", F.lit(0)).alias("intervals"), F.coalesce("bases", F.lit(0)).alias("bases"),
+        F.when(F.col("_pinned").isNull(), "unpinned").otherwise(F.col("_pin")).alias("rule"),
+    )
