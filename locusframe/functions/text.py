@@ -62,9 +62,15 @@ def hits(text: Column, detectors: dict[str, str] = DETECTORS) -> Column:
 
 
 def json_key_names(text: Column) -> Column:
-    """Key names of a JSON document at any depth; quotes inside a string value are escaped, so only a key
-    has its closing quote before a colon."""
-    return F.regexp_extract_all(text, F.lit(r'"([^"\\]*+)"[ \t\r\n]*:'), F.lit(1))
+    """Key names of a JSON document at any depth, with their escapes decoded.
+
+    Every string is taken whole, so nothing inside a value is looked at; a key is a string before a colon.
+    """
+    strings = F.regexp_extract_all(text, F.lit(r'"(?:[^"\\]|\\.)*+"[ \t\r\n]*:?'), F.lit(0))
+    quoted = F.transform(F.filter(strings, lambda s: s.endswith(":")), lambda s: F.regexp_replace(s, r"[ \t\r\n]*:$", ""))
+    plain = lambda s: F.substring(s, F.lit(2), F.length(s) - 2)
+    decoded = lambda s: F.coalesce(F.get_json_object(F.concat(F.lit("["), s, F.lit("]")), "$[0]"), plain(s))
+    return F.transform(quoted, lambda s: F.when(s.contains("\\"), decoded(s)).otherwise(plain(s)))
 
 
 def bounded(value: Column, allowed: str) -> Column:
