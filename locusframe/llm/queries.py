@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact, language, minhash, packing, quality, recompress, simhash, warc
+from . import bpe, chat, exact, language, minhash, packing, quality, recompress, simhash, suffixes, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -152,3 +152,25 @@ def op3_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_quality_classifier")
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(
+    "op11_suffix_array_dedup",
+    r"""
+    WITH docs AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    windows AS (SELECT r, i, md5_number(substr(h, 2 * i + 1, 400)) AS w FROM (SELECT r, h, unnest(range(0, len(h) // 2 - 199)) AS i FROM docs WHERE len(h) >= 400)),
+    again AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+    hits AS (SELECT r, i, i > coalesce(lag(i) OVER (PARTITION BY r ORDER BY i), -1000) + 200 AS new FROM windows JOIN again USING (w)),
+    numbered AS (SELECT r, i, sum(CAST(new AS INTEGER)) OVER (PARTITION BY r ORDER BY i) AS s FROM hits),
+    spans AS (SELECT r, s, min(i) AS a, max(i) + 200 AS b FROM numbered GROUP BY r, s),
+    gaps AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM spans),
+    cut AS (
+        SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept
+        FROM gaps JOIN docs USING (r) GROUP BY r)
+    SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+        sha256(unhex(coalesce(kept, h))) AS kept_sha256
+    FROM docs LEFT JOIN cut USING (r)
+    """,
+)
+def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeated_bytes(table(spark, sf_dir, "documents"))
