@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact, language, minhash, packing, quality, recompress, simhash, suffixes, warc
+from . import bpe, chat, exact, language, minhash, packing, phrases, quality, recompress, rtree, simhash, suffixes, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -174,3 +174,54 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeated_bytes(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op12_phrase_collocations",
+    r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+
+]')) AS p FROM documents),
+    split AS (SELECT lang, list_filter(string_split_regex(p, '[ 	]+'), lambda x: x <> '') AS w FROM pieces),
+    grams AS (
+        SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS g FROM split, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k),
+    f AS (SELECT lang, g, len(g) AS k, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY lang, g),
+    n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+    candidates AS (SELECT lang, g, k, f AS a FROM f WHERE k >= 2 AND f >= 10),
+    cuts AS (SELECT lang, g, k, a, unnest(range(1, k)) AS c FROM candidates),
+    scored AS (
+        SELECT x.lang, x.g, x.k, x.a, c, l.f AS l, r.f AS r, 1000000 * x.a * x.a // (l.f * r.f) AS score
+        FROM cuts x JOIN f l ON l.lang = x.lang AND l.g = x.g[1:c] JOIN f r ON r.lang = x.lang AND r.g = x.g[c + 1:]),
+    best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, c) = 1),
+    inner_ AS (
+        SELECT DISTINCT t.lang, t.g[j:j + 1] AS g, max(t.a) AS longest FROM candidates t, (SELECT unnest([1, 2]) AS j) WHERE t.k = 3 GROUP BY t.lang, t.g[j:j + 1]),
+    kept AS (SELECT best.* FROM best LEFT JOIN inner_ i ON i.lang = best.lang AND i.g = best.g WHERE i.longest IS NULL OR 100 * i.longest < 50 * a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank, array_to_string(g, ' ') AS phrase,
+        CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+    FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+    """,
+)
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op13_hard_negatives",
+    r"""
+    WITH usable AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS own, CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+        FROM usable a JOIN usable b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+    positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE own QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scored USING (anchor_id) WHERE NOT own AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY rank <= 3
+    """,
+)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rtree.hard_negatives(table(spark, sf_dir, "embeddings"))
