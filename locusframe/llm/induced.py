@@ -101,8 +101,10 @@ def _by_blocks(text: np.ndarray, larger: np.ndarray, seeds: np.ndarray, sizes: n
         new = np.empty(len(c), dtype=bool)
         new[0] = True
         np.not_equal(c[1:], c[:-1], out=new[1:])
-        heads = np.flatnonzero(new)
-        counts = np.diff(np.append(heads, len(c)))
+        heads = new.nonzero()[0]
+        counts = np.empty(len(heads), np.int64)
+        np.subtract(heads[1:], heads[:-1], out=counts[:-1])
+        counts[-1] = len(c) - heads[-1]
         at = numbers[: len(c)] - np.repeat(heads, counts)
         order[place[c] + sign * at] = before[by]
         place[c[heads]] += sign * counts
@@ -111,7 +113,7 @@ def _by_blocks(text: np.ndarray, larger: np.ndarray, seeds: np.ndarray, sizes: n
     i = 0
     while i < n:
         block = order[i : i + step]
-        filled = np.flatnonzero(block > 0)
+        filled = (block > 0).nonzero()[0]
         before = block[filled] - 1
         right = larger[before]
         filled, before = filled[right], before[right]
@@ -130,7 +132,7 @@ def _by_blocks(text: np.ndarray, larger: np.ndarray, seeds: np.ndarray, sizes: n
     while i > 0:
         low = max(0, i - step)
         block = order[low:i][::-1]
-        filled = np.flatnonzero(block > 0)
+        filled = (block > 0).nonzero()[0]
         before = block[filled] - 1
         right = ~larger[before]
         filled, before = filled[right], before[right]

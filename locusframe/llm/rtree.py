@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Callable, Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +33,9 @@ POSITIVES, NEGATIVES = 5, 3
 LOW, HIGH = 50, 95
 SCALE = 256
 LEAVES = "shard long, dims int, label int, leaf long, ids binary, vectors binary"
-ROWS = "vec_id long, label int, vector array<double>"
 #: Sums below this are exact as doubles.
 EXACT = 2.0**53
-LEAST_LONG, MOST_LONG = -(2**63), 2**63 - 1
+MOST = 10**38 - 1
 
 
 def usable_rows(embeddings: DataFrame) -> DataFrame:
@@ -268,8 +268,15 @@ def _negatives(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
 
 
 def _table(rows: list[tuple], names: list[str]) -> pa.Table:
-    columns = list(zip(*rows)) if rows else [()] * len(names)
-    return pa.table({c: pa.array([min(max(x, LEAST_LONG), MOST_LONG) for x in v], pa.int64()) for c, v in zip(names, columns)})
+    """Ids as longs, scores as decimals of 38 digits."""
+    columns = dict(zip(names, zip(*rows))) if rows else dict.fromkeys(names, ())
+    scores = {c: pa.array([Decimal(min(max(x, -MOST), MOST)) for x in v], pa.decimal128(38, 0)) for c, v in columns.items() if c.endswith("score")}
+    return pa.table({c: scores[c] if c in scores else pa.array(v, pa.int64()) for c, v in columns.items()})
+
+
+def _as_long(score: str) -> F.Column:
+    most, least = F.lit(Decimal(2**63 - 1)), F.lit(Decimal(-(2**63)))
+    return F.greatest(F.least(F.col(score), most), least).cast("long").alias(score)
 
 
 def hard_negatives(embeddings: DataFrame, every: int = 50, positives: int = POSITIVES, negatives: int = NEGATIVES, shard_rows: int = SHARD_ROWS, block_anchors: int = BLOCK_ANCHORS, leaf_rows: int = LEAF_ROWS) -> DataFrame:
@@ -284,8 +291,8 @@ def hard_negatives(embeddings: DataFrame, every: int = 50, positives: int = POSI
     anchor_id, positive_id, rank (from 1), negative_id, positive_score, negative_score.
 
     Equal rows count once; rows that share a vec_id and differ are rows of their own, but none is another
-    row to an anchor with its id. Vectors only meet vectors of the same length. Scores beyond 64 bits are
-    compared exactly and returned as the largest or smallest long. Other columns are not read; an empty
+    row to an anchor with its id. Vectors only meet vectors of the same length. Scores are compared exactly
+    up to 38 digits; those beyond 64 bits are returned as the largest or smallest long. Other columns are not read; an empty
     table, or one without anchors, gives no row.
     """
     rows = written(usable_rows(embeddings), "rows")
@@ -303,15 +310,15 @@ def hard_negatives(embeddings: DataFrame, every: int = 50, positives: int = POSI
     every_shard = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard")
     every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block")
     meeting = leaves.select("*", every_block).groupBy("shard", "block")
-    found = anchors.select("*", every_shard).groupBy("shard", "block").cogroup(meeting).applyInArrow(_positives(positives), "anchor long, anchor_id long, positive_id long, positive_score long")
+    found = anchors.select("*", every_shard).groupBy("shard", "block").cogroup(meeting).applyInArrow(_positives(positives), "anchor long, anchor_id long, positive_id long, positive_score decimal(38,0)")
     first = F.row_number().over(Window.partitionBy("anchor").orderBy(F.desc("positive_score"), "positive_id"))
     best = found.withColumn("rank", first).filter(F.col("rank") <= positives).groupBy("anchor").agg(F.collect_list(F.struct("positive_id", "positive_score")).alias("positives"))
     asked = written(anchors.join(best, "anchor"), "asked")
     near = asked.select("*", every_shard).groupBy("shard", "block").cogroup(meeting).applyInArrow(
-        _negatives(negatives), "anchor long, anchor_id long, positive_id long, positive_score long, negative_id long, negative_score long"
+        _negatives(negatives), "anchor long, anchor_id long, positive_id long, positive_score decimal(38,0), negative_id long, negative_score decimal(38,0)"
     )
     place = F.row_number().over(Window.partitionBy("anchor", "positive_id", "positive_score").orderBy(F.desc("negative_score"), "negative_id"))
-    return near.withColumn("rank", place).filter(F.col("rank") <= negatives).select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+    return near.withColumn("rank", place).filter(F.col("rank") <= negatives).select("anchor_id", "positive_id", "rank", "negative_id", _as_long("positive_score"), _as_long("negative_score"))
 
 
 def _as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

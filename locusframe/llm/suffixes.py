@@ -6,10 +6,13 @@ windows of one anchor that follow each other form a piece. Equal windows have eq
 that occurs once has no repeated window, and the pieces of an anchor that occurs again are all the shard of
 that anchor needs. Copies of a piece are named once and sent once, with a mark that there are several.
 
-Every shard holds the pieces of many anchors, one after the other with a separator. Its suffix array comes
-from induced sorting (``induced``), the common prefixes from the permuted array; suffixes that share
-``WINDOW`` bytes stand together, and a window is repeated if it has such a neighbour or its piece is marked.
-The runs of repeated windows go back to the chunks of text that hold the piece, by name.
+All chunks that hold an anchor agree on one of them, and on a stretch of its text, as the home of the anchor;
+a shard holds the pieces of all anchors with the same home. So most pieces of a shard stand side by side in
+that stretch and are sent as one text; those of other surroundings join them. The texts of a shard follow
+each other with a separator. Its suffix array comes from induced sorting (``induced``), the common prefixes
+from the permuted array; suffixes that share ``WINDOW`` bytes stand together, and a window is repeated if it
+has such a neighbour or its piece is marked. The runs of repeated windows go back to the chunks of text that
+hold the piece, by name.
 
 An anchor in too many different surroundings (a line that a third of all texts hold) would fill a shard.
 It is split: each of its windows is a piece of its own under its own fingerprint, and only windows whose
@@ -31,16 +34,16 @@ from .arrays import BYTE_BASE, POWERS, U, mix, prefix, runs, slices, span, text_
 
 WINDOW = 200
 GRAM = 32
-#: Bytes of text in a chunk, and bytes of text for which there is one bucket of names and one shard.
-CHUNK_BYTES, BUCKET_BYTES, SHARD_BYTES = 8 << 20, 32 << 20, 2 << 20
+#: Bytes of text in a chunk, bytes of text for which there is one bucket of names, and the stretch of a home.
+CHUNK_BYTES, BUCKET_BYTES, HOME_BYTES = 8 << 20, 32 << 20, 4 << 20
 #: Different surroundings of one anchor, in a chunk and in all, beyond which its windows are named one by one.
 LOCAL_MANY, MANY = 32, 256
 #: Texts are parsed in slices of about this size, so that the arrays stay in cache.
 PARSED_BYTES = 1 << 17
 WHOLE, SINGLE, HOT = 0, 1, 2
-NAMES = "bucket long, chunk long, anchor binary, name binary, mark binary"
-WANTED = "chunk long, anchor binary, name binary, mark binary, counts binary, chunks binary"
-PIECES = "shard long, kind int, anchor long, name long, several boolean, chunks binary, text binary"
+NAMES = "bucket long, chunk long, anchor binary, name binary, mark binary, stretch binary"
+WANTED = "chunk long, anchor binary, name binary, mark binary, home binary, counts binary, chunks binary"
+PIECES = "shard long, anchor binary, name binary, kind binary, several binary, first binary, counts binary, chunks binary, text binary"
 ANSWERS = "chunk long, anchor binary, name binary, kind binary, start binary, stop binary"
 
 
@@ -133,21 +136,16 @@ def _read(table: pa.Table, column: str, dtype=np.uint64) -> list[np.ndarray]:
     return [np.frombuffer(x, dtype) for x in table.column(column).to_pylist()]
 
 
-def _by_bucket(bucket_of: np.ndarray, buckets: int, chunk: int, anchor: np.ndarray, name: np.ndarray, mark: np.ndarray) -> pa.Table:
+def _by_bucket(bucket_of: np.ndarray, buckets: int, chunk: int, *columns: np.ndarray) -> pa.Table:
     """One row per bucket that has names; the arrays travel as bytes."""
     bucket = (bucket_of % U(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     heads = runs(bucket[order])
     parts = [order[a:b] for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(order)])]
-    return pa.table(
-        {
-            "bucket": pa.array([int(bucket[p[0]]) for p in parts], pa.int64()),
-            "chunk": pa.array([chunk] * len(parts), pa.int64()),
-            "anchor": pa.array([anchor[p].tobytes() for p in parts], pa.binary()),
-            "name": pa.array([name[p].tobytes() for p in parts], pa.binary()),
-            "mark": pa.array([mark[p].tobytes() for p in parts], pa.binary()),
-        }
-    )
+    out = {"bucket": pa.array([int(bucket[p[0]]) for p in parts], pa.int64()), "chunk": pa.array([chunk] * len(parts), pa.int64())}
+    for name, values in zip(("anchor", "name", "mark", "stretch"), columns):
+        out[name] = pa.array([values[p].tobytes() for p in parts], pa.binary())
+    return pa.table(out)
 
 
 def _chunk_of(*tables: pa.Table) -> int:
@@ -158,11 +156,14 @@ def _named(buckets: int, window: int, local_many: int) -> Callable[[pa.Table], p
     """Names of all pieces of a chunk; an anchor in many surroundings is told once, as hot."""
 
     def run(table: pa.Table) -> pa.Table:
-        anchors, names = [], []
+        anchors, names, stretches, done = [], [], [], 0
         for pieces, *_ in _parts(table, window):
             anchors.append(pieces.anchor)
             names.append(pieces.name)
-        anchor, name, several, _ = _distinct(_cat(anchors, np.uint64), _cat(names, np.uint64))
+            stretches.append((pieces.first + done) // HOME_BYTES)
+            done += len(pieces.data)
+        anchor, name, several, at = _distinct(_cat(anchors, np.uint64), _cat(names, np.uint64))
+        stretch = _cat(stretches, np.int64)[at].astype(np.uint32)
         mark = np.where(several, np.uint8(SINGLE), np.uint8(WHOLE))
         heads = runs(anchor)
         sizes = np.diff(np.append(heads, len(anchor)))
@@ -171,7 +172,7 @@ def _named(buckets: int, window: int, local_many: int) -> Callable[[pa.Table], p
         kept[heads[sizes > local_many]] = True
         mark = np.where(hot, np.uint8(HOT), mark)
         name = np.where(hot, U(0), name)
-        return _by_bucket(mix(anchor)[kept], buckets, _chunk_of(table), anchor[kept], name[kept], mark[kept])
+        return _by_bucket(mix(anchor)[kept], buckets, _chunk_of(table), anchor[kept], name[kept], mark[kept], stretch[kept])
 
     return run
 
@@ -179,19 +180,20 @@ def _named(buckets: int, window: int, local_many: int) -> Callable[[pa.Table], p
 def _judged(many: int | None) -> Callable[[pa.Table], pa.Table]:
     """Of the names of one bucket over all chunks, those worth sending: each to the chunk that shall send it.
 
-    A row tells names (marked whether there are several copies) with the chunks that hold them; hot anchors
-    are told to every chunk that has them. With ``many`` None the names are those of windows: they are
-    worth sending where they occur again.
+    A row tells names (marked whether there are several copies) with their homes and the chunks that hold
+    them; hot anchors are told to every chunk that has them. With ``many`` None the names are those of
+    windows: they are worth sending where they occur again, and each has a home of its own.
     """
 
     def run(table: pa.Table) -> pa.Table:
         parts = _read(table, "anchor")
-        sizes = [len(x) for x in parts]
         anchor, name = _cat(parts, np.uint64), _cat(_read(table, "name"), np.uint64)
-        mark = _cat(_read(table, "mark", np.uint8), np.uint8)
-        chunk = np.repeat(np.asarray(table.column("chunk")), sizes)
-        order = np.lexsort((chunk, name, anchor))
-        anchor, name, mark, chunk = anchor[order], name[order], mark[order], chunk[order]
+        mark, stretch = _cat(_read(table, "mark", np.uint8), np.uint8), _cat(_read(table, "stretch", np.uint32), np.uint32)
+        chunk = np.repeat(np.asarray(table.column("chunk")), [len(x) for x in parts])
+        # one order of chunks for all names, so that neighbours in a text mostly choose the same chunk
+        rank = mix(chunk.astype(np.uint64))
+        order = np.lexsort((rank, name, anchor))
+        anchor, name, mark, chunk, stretch, rank = (x[order] for x in (anchor, name, mark, chunk, stretch, rank))
         new = np.ones(len(anchor), dtype=bool)
         new[1:] = anchor[1:] != anchor[:-1]
         group = np.cumsum(new) - 1
@@ -202,43 +204,36 @@ def _judged(many: int | None) -> Callable[[pa.Table], pa.Table]:
         holders = np.diff(np.append(name_heads, len(anchor)))
         several = (holders > 1) | np.logical_or.reduceat(mark == SINGLE, name_heads)
         names_of = np.bincount(group[name_heads], minlength=len(heads))
-        hot = np.logical_or.reduceat(mark == HOT, heads)
+        place = (chunk << 24) | stretch.astype(np.int64)
         if many is None:
-            told = several
+            told, home = several, place[name_heads]
         else:
-            hot |= names_of > many
+            hot = np.logical_or.reduceat(mark == HOT, heads) | (names_of > many)
             told = ~hot[group[name_heads]] & ((names_of[group[name_heads]] > 1) | several)
+            first = np.flatnonzero(rank == np.minimum.reduceat(rank, heads)[group])
+            home = np.empty(len(heads), np.int64)
+            home[group[first[::-1]]] = place[first[::-1]]
+            home = home[group[name_heads]]
         out: dict[str, list] = {c.split()[0]: [] for c in WANTED.split(", ")}
 
-        def tell(owner: np.ndarray, rows: np.ndarray, counts: np.ndarray | None, mark_of: np.ndarray) -> None:
-            by = np.argsort(owner, kind="stable")
-            ends = runs(owner[by])
+        def tell(rows: np.ndarray, counts: np.ndarray, mark_of: np.ndarray, home_of: np.ndarray) -> None:
+            by = np.argsort(chunk[rows], kind="stable")
+            ends = runs(chunk[rows[by]])
             for a, b in zip(ends.tolist(), [*ends[1:].tolist(), len(by)]):
                 p = by[a:b]
-                at = rows[p]
-                out["chunk"].append(int(owner[p[0]]))
-                out["anchor"].append(anchor[at].tobytes())
-                out["name"].append(name[at].tobytes())
-                out["mark"].append(mark_of[p].astype(np.uint8).tobytes())
-                n = counts[p] if counts is not None else np.zeros(len(p), np.int64)
+                at, n = rows[p], counts[p]
                 held = np.repeat(at - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                out["counts"].append(n.astype(np.int64).tobytes())
-                out["chunks"].append(chunk[held].tobytes())
+                out["chunk"].append(int(chunk[at[0]]))
+                for c, v in zip(("anchor", "name", "mark", "home", "counts", "chunks"), (anchor[at], name[at], mark_of[p].astype(np.uint8), home_of[p], n.astype(np.int64), chunk[held])):
+                    out[c].append(v.tobytes())
 
-        at = name_heads[told]
-        # the sender is one of the holders, another one for each name
-        sender = chunk[at + (mix(name[at]) % holders[told].astype(np.uint64)).astype(np.int64)] if len(at) else chunk[at]
-        tell(sender, at, holders[told], several[told] * SINGLE)
+        # the first holder sends
+        tell(name_heads[told], holders[told], several[told] * SINGLE, home[told])
         if many is not None:
-            of_hot = hot[group]
-            once = of_hot.copy()
-            by = np.lexsort((chunk, group))
-            repeat = (group[by][1:] == group[by][:-1]) & (chunk[by][1:] == chunk[by][:-1])
-            once[by[1:][repeat]] = False
-            rows = np.flatnonzero(once)
-            tell(chunk[rows], rows, None, np.full(len(rows), HOT))
-        kinds = {"chunk": pa.int64()}
-        return pa.table({c: pa.array(v, kinds.get(c, pa.binary())) for c, v in out.items()})
+            rows = np.flatnonzero(hot[group])
+            rows = rows[np.unique(np.stack([group[rows], chunk[rows]]), axis=1, return_index=True)[1]] if len(rows) else rows
+            tell(rows, np.zeros(len(rows), np.int64), np.full(len(rows), HOT), np.zeros(len(rows), np.int64))
+        return pa.table({c: pa.array(v, pa.int64() if c == "chunk" else pa.binary()) for c, v in out.items()})
 
     return run
 
@@ -255,8 +250,13 @@ class _Wanted:
         send = np.flatnonzero(mark != HOT)
         send = send[np.argsort(_key(anchor[send], name[send]), kind="stable")]
         self.key, self.anchor, self.name = _key(anchor[send], name[send]), anchor[send], name[send]
-        self.several = mark[send] == SINGLE
-        self.chunks = [chunks[a : a + n].tobytes() for a, n in zip(starts[send].tolist(), counts[send].tolist())]
+        self.several, self.home = mark[send] == SINGLE, _cat(_read(table, "home", np.int64), np.int64)[send]
+        self.counts, self.starts, self.chunks = counts[send], starts[send], chunks
+
+    def holders(self, rows: np.ndarray) -> np.ndarray:
+        """The chunks that hold the given names, one name after the other."""
+        n = self.counts[rows]
+        return self.chunks[np.repeat(self.starts[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
 
 
 def _key(anchor: np.ndarray, name: np.ndarray) -> np.ndarray:
@@ -276,108 +276,113 @@ def _windows_named(buckets: int, window: int) -> Callable[[pa.Table, pa.Table],
 
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
         hot = _Wanted(told).hot
-        anchors, names = [], []
+        anchors, names, stretches, done = [], [], [], 0
         if len(hot):
             for pieces, *_ in _parts(table, window):
                 at, anchor = pieces.windows(np.flatnonzero(_find(hot, pieces.anchor)[1]))
                 anchors.append(anchor)
                 names.append(pieces.window_names(at))
-        anchor, name, several, _ = _distinct(_cat(anchors, np.uint64), _cat(names, np.uint64))
+                stretches.append((at + done) // HOME_BYTES)
+                done += len(pieces.data)
+        anchor, name, several, at = _distinct(_cat(anchors, np.uint64), _cat(names, np.uint64))
         mark = np.where(several, np.uint8(SINGLE), np.uint8(WHOLE))
-        return _by_bucket(name, buckets, _chunk_of(table, told), anchor, name, mark)
+        return _by_bucket(name, buckets, _chunk_of(table, told), anchor, name, mark, _cat(stretches, np.int64)[at].astype(np.uint32))
 
     return run
 
 
-def _sent(shards: int, window: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """The texts of the pieces that a chunk was told to send, one row each."""
+def _sent(window: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The texts that a chunk was told to send: one row for pieces of the same home that stand side by side."""
 
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
         wanted = _Wanted(told)
         open_ = np.ones(len(wanted.key), dtype=bool)
-        which, kinds, texts = [], [], []
-
-        def take(pieces: Pieces, key: np.ndarray, first: np.ndarray, stop: np.ndarray, kind: int) -> None:
-            at, found = _find(wanted.key, key)
-            rows = np.flatnonzero(found)
-            rows = rows[open_[at[rows]]]
-            rows = rows[np.sort(np.unique(at[rows], return_index=True)[1])]
-            open_[at[rows]] = False
-            for k, a, b in zip(at[rows].tolist(), first[rows].tolist(), stop[rows].tolist()):
-                which.append(k)
-                kinds.append(kind)
-                texts.append(pieces.data[a:b].tobytes())
-
+        out: dict[str, list] = {c.split()[0]: [] for c in PIECES.split(", ")}
         for pieces, *_ in _parts(table, window) if len(wanted.key) else ():
-            take(pieces, _key(pieces.anchor, pieces.name), pieces.first, pieces.last + window, WHOLE)
+            first, last, key = pieces.first, pieces.last, _key(pieces.anchor, pieces.name)
+            kind = np.full(len(first), WHOLE, np.uint8)
             if len(wanted.hot):
                 at, anchor = pieces.windows(np.flatnonzero(_find(wanted.hot, pieces.anchor)[1]))
-                take(pieces, _key(anchor, pieces.window_names(at)), at, at + window, SINGLE)
-        row = np.array(which, np.int64)
-        kind = np.array(kinds, np.int32)
-        by = np.where(kind == WHOLE, mix(wanted.anchor[row]), wanted.name[row]) if len(row) else np.empty(0, np.uint64)
-        return pa.table(
-            {
-                "shard": pa.array((by % U(shards)).astype(np.int64)),
-                "kind": pa.array(kind),
-                "anchor": pa.array(wanted.anchor[row].view(np.int64)),
-                "name": pa.array(wanted.name[row].view(np.int64)),
-                "several": pa.array(wanted.several[row]),
-                "chunks": pa.array([wanted.chunks[k] for k in which], pa.binary()),
-                "text": pa.array(texts, pa.binary()),
-            }
-        )
+                first, last, key = np.append(first, at), np.append(last, at), np.append(key, _key(anchor, pieces.window_names(at)))
+                kind = np.append(kind, np.full(len(at), SINGLE, np.uint8))
+            at, found = _find(wanted.key, key)
+            rows = np.flatnonzero(found)
+            rows = rows[open_[at[rows]]]
+            rows = rows[np.unique(at[rows], return_index=True)[1]]
+            rows = rows[np.argsort(first[rows], kind="stable")]
+            which = at[rows]
+            open_[which] = False
+            home = wanted.home[which]
+            head = np.ones(len(rows), dtype=bool)
+            head[1:] = (first[rows[1:]] != last[rows[:-1]] + 1) | (home[1:] != home[:-1])
+            heads = np.flatnonzero(head).tolist()
+            for a, b in zip(heads, [*heads[1:], len(rows)]):
+                start, w = first[rows[a]], which[a:b]
+                out["shard"].append(int(home[a]))
+                out["text"].append(pieces.data[start : last[rows[b - 1]] + window].tobytes())
+                for c, v in zip(("anchor", "name", "kind", "several", "first", "counts", "chunks"), (wanted.anchor[w], wanted.name[w], kind[rows[a:b]], wanted.several[w], (first[rows[a:b]] - start).astype(np.int32), wanted.counts[w], wanted.holders(w))):
+                    out[c].append(v.tobytes())
+        return pa.table({c: pa.array(v, pa.int64() if c == "shard" else pa.binary()) for c, v in out.items()})
 
     return run
 
 
-def repeated_windows(texts: list[bytes], several: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of each window of the pieces: the number of its piece and its place there, for the repeated ones only."""
+def repeated_windows(texts: list[bytes], window: int) -> np.ndarray:
+    """Whether the window at each byte of the texts, one after the other, starts anywhere else in them."""
     sizes = np.array([len(x) for x in texts], np.int64)
-    text = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int64) + 2
     stops = np.cumsum(sizes + 1) - 1
-    starts = stops - sizes
+    text = np.frombuffer(b"\0".join(texts) + b"\0\0", np.uint8).astype(np.int64) + 2
     text[stops] = 1
-    text = np.append(text, 0)
+    text[-1] = 0
     order = induced.suffix_array(text, 258)
     before, common = induced.common_prefixes(text, order)
-    piece = np.repeat(np.arange(len(sizes)), sizes + 1)
-    place = np.arange(len(piece)) - starts[piece]
-    left = np.append(sizes[piece] - place, 0)  # bytes up to the end of the piece
-    near = common >= window
+    left = np.append(np.repeat(stops, sizes + 1) - np.arange(len(text) - 1), 0)  # bytes up to the end of the text
     # a prefix that runs over a separator tells nothing
-    near &= (left >= window) & (left[before] >= window)
+    near = (common >= window) & (left >= window) & (left[before] >= window)
     hit = near.copy()
     hit[before[near]] = True
-    hit[:-1] |= several[piece] & (left[:-1] >= window)
-    at = np.flatnonzero(hit)
-    return piece[at], place[at]
+    inside = np.ones(len(text), dtype=bool)
+    inside[stops] = inside[-1] = False
+    return hit[inside]
 
 
 def _sorted_shard(window: int) -> Callable[[pa.Table], pa.Table]:
     """Runs of repeated windows of the pieces of a shard, for each chunk that holds the piece."""
 
     def run(table: pa.Table) -> pa.Table:
-        several = np.asarray(table.column("several"))
-        piece, place = repeated_windows(table.column("text").to_pylist(), several, window)
-        head = np.ones(len(piece), dtype=bool)
-        head[1:] = (piece[1:] != piece[:-1]) | (place[1:] != place[:-1] + 1)
-        first = np.flatnonzero(head)
-        last = np.append(first[1:], len(piece)) - 1 if len(piece) else first
-        owner, start, stop = piece[first], place[first], place[last] + 1
-        chunks = _read(table, "chunks", np.int64)
-        held = np.array([len(x) for x in chunks], np.int64)
-        row = np.repeat(np.arange(len(owner)), held[owner])
-        chunk = _cat([chunks[k] for k in owner.tolist()], np.int64)
+        texts = table.column("text").to_pylist()
+        sizes = np.array([len(x) for x in texts], np.int64)
+        base = np.cumsum(sizes) - sizes
+        anchor, name, kind = (_cat(_read(table, c, t), t) for c, t in (("anchor", np.uint64), ("name", np.uint64), ("kind", np.uint8)))
+        several = _cat(_read(table, "several", np.bool_), np.bool_)
+        firsts = _read(table, "first", np.int32)
+        many = np.array([len(x) for x in firsts], np.int64)
+        # pieces in the order of the texts: each ends where the next one begins, the last with its text's last window
+        first = _cat(firsts, np.int32) + np.repeat(base, many)
+        stop = np.append(first[1:], 0)
+        stop[np.cumsum(many) - 1] = base + sizes - window + 1
+        hit = repeated_windows(texts, window)
+        owner = np.repeat(np.arange(len(first)), stop - first)
+        at = np.repeat(first - (np.cumsum(stop - first) - (stop - first)), stop - first) + np.arange(len(owner))
+        again = hit[at] | several[owner]
+        owner, at = owner[again], at[again]
+        head = np.ones(len(owner), dtype=bool)
+        head[1:] = (owner[1:] != owner[:-1]) | (at[1:] != at[:-1] + 1)
+        begin = np.flatnonzero(head)
+        end = np.append(begin[1:], len(owner)) - 1 if len(owner) else begin
+        piece = owner[begin]
+        start, stop = at[begin] - first[piece], at[end] + 1 - first[piece]
+        held, chunks = _cat(_read(table, "counts", np.int64), np.int64), _cat(_read(table, "chunks", np.int64), np.int64)
+        n = held[piece]
+        row = np.repeat(np.arange(len(piece)), n)
+        chunk = chunks[np.repeat((np.cumsum(held) - held)[piece] - (np.cumsum(n) - n), n) + np.arange(len(row))]
         order = np.argsort(chunk, kind="stable")
         heads = runs(chunk[order])
-        anchor, name = np.asarray(table.column("anchor")), np.asarray(table.column("name"))
-        kind = np.asarray(table.column("kind")).astype(np.uint8)
         out: dict[str, list] = {c.split()[0]: [] for c in ANSWERS.split(", ")}
         for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(order)]):
             p = row[order[a:b]]
             out["chunk"].append(int(chunk[order[a]]))
-            for c, v in (("anchor", anchor[owner[p]]), ("name", name[owner[p]]), ("kind", kind[owner[p]]), ("start", start[p].astype(np.int32)), ("stop", stop[p].astype(np.int32))):
+            for c, v in zip(("anchor", "name", "kind", "start", "stop"), (anchor[piece[p]], name[piece[p]], kind[piece[p]], start[p].astype(np.int32), stop[p].astype(np.int32))):
                 out[c].append(v.tobytes())
         return pa.table({c: pa.array(v, pa.int64() if c == "chunk" else pa.binary()) for c, v in out.items()})
 
@@ -449,15 +454,15 @@ def remove_repeated_bytes(docs: DataFrame, window: int = WINDOW, with_text: bool
     ``many`` in all, is split by its windows; neither changes the result.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks, buckets, shards = (max(1, -(-size // x)) for x in (CHUNK_BYTES, BUCKET_BYTES, SHARD_BYTES))
-    # equal rows spread too: only names tell where the answers go
-    rows = docs.select(F.pmod(F.xxhash64("doc_id", F.octet_length("text"), F.substring("text", 1, 16)), F.lit(chunks)).alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    chunks, buckets = (max(1, -(-size // x)) for x in (CHUNK_BYTES, BUCKET_BYTES))
+    own = F.coalesce(F.col("doc_id").cast("long"), F.monotonically_increasing_id())
+    rows = docs.select(F.pmod(F.xxhash64(own, F.octet_length("text")), F.lit(chunks)).alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     by_chunk = rows.groupBy("chunk")
     named = by_chunk.applyInArrow(_named(buckets, window, local_many), NAMES)
     told = named.groupBy("bucket").applyInArrow(_judged(many), WANTED)
     single = by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(_windows_named(buckets, window), NAMES)
     again = single.groupBy("bucket").applyInArrow(_judged(None), WANTED)
-    sent = by_chunk.cogroup(told.unionByName(again).groupBy("chunk")).applyInArrow(_sent(shards, window), PIECES)
+    sent = by_chunk.cogroup(told.unionByName(again).groupBy("chunk")).applyInArrow(_sent(window), PIECES)
     answers = sent.groupBy("shard").applyInArrow(_sorted_shard(window), ANSWERS)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string" if with_text else "")
     return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_removed(window, with_text), schema)
