@@ -38,18 +38,17 @@ def _moves(sides: list[DataFrame], keys: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _deltas(sides: list[DataFrame], keys: list[str]) -> DataFrame:
-    """Summed cover change of each side at each position."""
-    names = [f"d{i}" for i in range(len(sides))]
-    summed = _moves(sides, keys).groupBy(*keys, "pos").agg(*[F.sum(n).alias(n) for n in names])
-    return summed.filter(" or ".join(f"{n} <> 0" for n in names))
-
-
 def cover(sides: list[DataFrame], keys: list[str] = CONTIG, width: int = WIDTH) -> DataFrame:
-    """Cover of each side from ``pos`` on: columns ``c0..cn`` next to the deltas ``d0..dn``."""
-    moves = _deltas(sides, keys)
-    specs = {f"c{i}": Running("sum", f"d{i}") for i in range(len(sides))}
-    return running(moves, keys, "pos", specs, width, keep_tile=True)
+    """Cover of each side from ``pos`` on: columns ``c0..cn`` next to the deltas ``d0..dn``.
+
+    The tiles' sums come straight from the interval edges, so only summed deltas are dealt by tile.
+    """
+    names = [f"d{i}" for i in range(len(sides))]
+    moves = _moves(sides, keys)
+    summed = moves.groupBy(*keys, "pos").agg(*[F.sum(n).alias(n) for n in names])
+    deltas = summed.filter(" or ".join(f"{n} <> 0" for n in names))
+    specs = {f"c{i}": Running("sum", n) for i, n in enumerate(names)}
+    return running(deltas, keys, "pos", specs, width, keep_tile=True, moves=moves)
 
 
 def where(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import basename
@@ -38,8 +38,8 @@ def broken_edges(artifact_rows: DataFrame, edges: DataFrame) -> DataFrame:
     """Declared hand-overs whose output and input are absent, ambiguous or differ.
 
     ``edges``: ``from_process, from_file, to_process, to_file``; both ends share ``label``. Artifacts meet
-    the edges they belong to, and one group per label and edge tells what was found; a label's edges
-    without any artifact come from the declared list, of which each label only adds what it lacks.
+    the edges they belong to, and one group per label and edge tells what was found. Hand-overs without any
+    artifact are looked for only in labels that met fewer than the declared ones, which are numbered once.
     """
     names = ["from_process", "from_file", "to_process", "to_file"]
     edge = F.struct(*names)
@@ -65,31 +65,35 @@ def broken_edges(artifact_rows: DataFrame, edges: DataFrame) -> DataFrame:
         .when(F.col("made_as") != F.col("read_as"), "identity")
     )
     seen = both.select("label", "edge", rule.alias("rule"))
-    per_label = artifact_rows.select("label", F.lit(None).cast(seen.schema["edge"].dataType).alias("edge")).distinct()
-    known = seen.select("label", "edge").unionByName(per_label).groupBy("label").agg(F.collect_set("edge").alias("_known"))
-    # One row, as long as the list of declared hand-overs.
-    declared = edges.agg(F.collect_set(edge).alias("_all"))
-    absent = known.join(declared).select("label", F.explode(F.array_except("_all", "_known")).alias("edge"), F.lit("output_count").alias("rule"))
-    return seen.filter("rule is not null").unionByName(absent).select("label", *[F.col(f"edge.{c}").alias(c) for c in names], "rule")
+    # labels that met fewer hand-overs than are declared lack some altogether
+    numbered = edges.select(edge.alias("edge")).distinct().withColumn("number", F.row_number().over(Window.orderBy("edge")))
+    met = seen.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    labels = artifact_rows.select("label").distinct().join(met, "label", "left").select("label", F.coalesce("n", F.lit(0)).alias("n"))
+    absent = _lacking(labels, numbered.count(), "label").join(numbered, "number").join(seen.select("label", "edge"), ["label", "edge"], "left_anti")
+    told = seen.filter("rule is not null").unionByName(absent.select("label", "edge", F.lit("output_count").alias("rule")))
+    return told.select("label", *[F.col(f"edge.{c}").alias(c) for c in names], "rule")
+
+
+def _lacking(counted: DataFrame, total: int, key: str) -> DataFrame:
+    """``(key, number)`` with every number from 1 to ``total``, for keys whose count ``n`` is below it."""
+    return counted.filter(F.col("n") < total).select(key, F.explode(F.sequence(F.lit(1), F.lit(max(1, total)))).alias("number"))
 
 
 def asymmetric_inputs(observed: DataFrame, accepted: DataFrame, callers: DataFrame) -> DataFrame:
     """Every caller must have read exactly the accepted identities.
 
-    One group per identity holds the callers that read it, so only what is missing or too much is spelt out.
+    Declared callers are counted per accepted identity; only identities that some caller did not read are
+    spelt out. Reads of other identities, or by other callers, come from two anti joins.
     """
-    reads = observed.select("sha256", "caller", F.lit(False).alias("_accepted"))
-    wanted = accepted.select("sha256", F.lit(None).cast("string").alias("caller"), F.lit(True).alias("_accepted"))
-    found = reads.unionByName(wanted).groupBy("sha256").agg(F.collect_set("caller").alias("_by"), F.max("_accepted").alias("_accepted"))
-    # One row, as long as the list of callers.
-    everyone = callers.agg(F.collect_set("caller").alias("_all"))
-    missing = F.when(F.col("_accepted"), F.array_except("_all", "_by")).otherwise(F.array().cast("array<string>"))
-    extra = F.when(F.col("_accepted"), F.array_except("_by", "_all")).otherwise(F.col("_by"))
-    told = F.concat(
-        F.transform(missing, lambda c: F.struct(c.alias("caller"), F.lit("not_read").alias("rule"))),
-        F.transform(extra, lambda c: F.struct(c.alias("caller"), F.lit("not_accepted").alias("rule"))),
-    )
-    return found.join(everyone).select("sha256", F.explode(told).alias("t")).select("t.caller", "sha256", "t.rule")
+    reads = observed.select("sha256", "caller").distinct()
+    wanted, named = accepted.select("sha256").distinct(), callers.select("caller").distinct()
+    numbered = named.withColumn("number", F.row_number().over(Window.orderBy("caller")))
+    proper = reads.join(wanted, "sha256", "left_semi").join(named, "caller", "left_semi")
+    met = proper.groupBy("sha256").agg(F.count(F.lit(1)).alias("n"))
+    counted = wanted.join(met, "sha256", "left").select("sha256", F.coalesce("n", F.lit(0)).alias("n"))
+    missing = _lacking(counted, numbered.count(), "sha256").join(numbered, "number").join(proper, ["sha256", "caller"], "left_anti")
+    extra = reads.join(proper, ["sha256", "caller"], "left_anti")
+    return missing.select("caller", "sha256", F.lit("not_read").alias("rule")).unionByName(extra.select("caller", "sha256", F.lit("not_accepted").alias("rule")))
 
 
 def leaks(inputs: DataFrame, forbidden: DataFrame) -> DataFrame:
@@ -114,44 +118,89 @@ def unknown_endpoints(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return source.unionByName(target).select("src", "dst", "side")
 
 
-def cyclic_core(edges: DataFrame) -> DataFrame:
-    """Edges left after peeling nodes that have no way in or no way out, round by round.
+#: Jumps are composed as long as the composed ones are at most this many times the edges.
+MOST_JUMPS = 4
 
-    Empty exactly when the graph is acyclic. Each round is two semi joins on distinct endpoints and
-    a reliable checkpoint; rounds are bounded by the longest path.
+
+class _Jumps:
+    """Pairs of nodes that a walk of exactly ``length`` edges joins; ``double`` composes them with themselves.
+
+    A node with many ways in and out would multiply pairs, so the number of compositions is counted first:
+    beyond ``MOST_JUMPS`` times the edges the length stays, and callers go on by jumps of that length.
     """
-    left = reliable_checkpoint(edges.select("src", "dst").distinct())
-    size = left.count()
+
+    def __init__(self, edges: DataFrame) -> None:
+        self.pairs = reliable_checkpoint(edges.select("src", "dst").distinct())
+        self.edges, self.length = self.pairs.count(), 1
+        self.grows = self.edges > 0
+
+    def double(self) -> bool:
+        if not self.grows:
+            return False
+        into = self.pairs.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("i"))
+        out = self.pairs.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("o"))
+        made = into.join(out, "node").agg(F.coalesce(F.sum(F.col("i").cast("decimal(19,0)") * F.col("o")), F.lit(0))).first()[0]
+        self.grows = 0 < made <= MOST_JUMPS * self.edges
+        if made > MOST_JUMPS * self.edges:
+            return False
+        first, second = self.pairs.select("src", F.col("dst").alias("via")), self.pairs.select(F.col("src").alias("via"), "dst")
+        self.pairs = reliable_checkpoint(first.join(second, "via").select("src", "dst").distinct())
+        self.length *= 2
+        return True
+
+
+def _endless(pairs: DataFrame, near: str, far: str) -> DataFrame:
+    """Nodes at the ``near`` end of walks without end over the pairs: peel those whose ``far`` end goes nowhere."""
+    left, size = pairs, pairs.count()
     while size:
-        sources, targets = left.select("src").distinct(), left.select("dst").distinct()
-        kept = left.join(targets.select(F.col("dst").alias("src")), "src", "left_semi").join(
-            sources.select(F.col("src").alias("dst")), "dst", "left_semi"
-        )
-        kept = reliable_checkpoint(kept.select("src", "dst"))
+        kept = reliable_checkpoint(left.join(left.select(F.col(near).alias(far)).distinct(), far, "left_semi").select("src", "dst"))
         now = kept.count()
-        left = kept
-        if now == size:
+        left, before, size = kept, size, now
+        if now == before:
             break
-        size = now
-    return left
+    return left.select(F.col(near).alias("node")).distinct()
+
+
+def cyclic_core(edges: DataFrame) -> DataFrame:
+    """Edges left after peeling nodes that have no way in or no way out.
+
+    Empty exactly when the graph is acyclic: an edge stays if walks without end lead to its source and from
+    its target. Jumps double in length until there are none (no cycle) or they are as long as there are
+    nodes, so a path of n edges takes about log2(n) rounds; then few peeling rounds are left.
+    """
+    jumps = _Jumps(edges)
+    all_edges, limit = jumps.pairs, 2 * jumps.edges
+    while jumps.length <= limit and jumps.double():
+        pass
+    if not jumps.edges or jumps.pairs.isEmpty():
+        return all_edges.limit(0)
+    onward, back = _endless(jumps.pairs, "src", "dst"), _endless(jumps.pairs, "dst", "src")
+    return all_edges.join(onward.withColumnRenamed("node", "dst"), "dst", "left_semi").join(back.withColumnRenamed("node", "src"), "src", "left_semi").select("src", "dst")
 
 
 def ancestors(edges: DataFrame, start: DataFrame) -> DataFrame:
-    """All nodes reachable from the start nodes along edges, with the fewest steps."""
+    """All nodes reachable from the start nodes along edges, with the fewest steps.
+
+    After each round the nodes within twice as many steps are known: jumps of length n lead from those at
+    most n steps behind the farthest to all that are up to n steps farther.
+    """
+    jumps = _Jumps(edges)
     reached = start.select(F.col("node"), F.lit(0).alias("steps")).distinct()
-    frontier, step = reached, 0
-    while True:
-        step += 1
+    known = 0
+    while jumps.edges:
+        frontier = reached.filter(F.col("steps") > known - jumps.length).withColumnsRenamed({"node": "src", "steps": "_from"})
         found = (
-            edges.join(frontier.select(F.col("node").alias("src")), "src", "left_semi")
-            .select(F.col("dst").alias("node")).distinct()
+            jumps.pairs.join(frontier, "src")
+            .groupBy(F.col("dst").alias("node")).agg((F.min("_from") + jumps.length).cast("int").alias("steps"))
             .join(reached.select("node"), "node", "left_anti")
-            .withColumn("steps", F.lit(step))
         )
-        frontier = reliable_checkpoint(found)
-        if frontier.isEmpty():
-            return reached
-        reached = reached.unionByName(frontier)
+        new = reliable_checkpoint(found)
+        if new.isEmpty():
+            break
+        reached = reached.unionByName(new)
+        known += jumps.length
+        jumps.double()
+    return reached
 
 
 def reference_agreement(references: DataFrame, key: str = "name") -> DataFrame:

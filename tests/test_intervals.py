@@ -114,3 +114,34 @@ def test_liftover_reports_every_interval(spark):
     lifted, rejected = iv.liftover(named, blocks)
     assert rows(lifted, "name", "to_contig", "to_start", "to_end", "pieces") == [("gap", "d", 1090, 1160, 2), ("in", "d", 1010, 1020, 1)]
     assert rows(rejected, "name", "reason") == [("low", "low_fraction"), ("off", "unmapped")]
+
+
+@pytest.mark.parametrize("width, tiles", [(2, 2), (3, 4), (5, 4096)])
+def test_running_values_over_blocks_of_tiles(spark, width, tiles):
+    """Sums, maxima and last values carried over tiles and blocks of tiles, with gaps and nulls."""
+    rng = random.Random(width)
+    items = [(k, at, rng.randint(-5, 5), rng.choice([None, at])) for k in "ab" for at in sorted(rng.sample(range(300), 60))]
+    df = spark.createDataFrame(items, "k string, at long, d long, seen long")
+    specs = {"sum": Running("sum", "d"), "before": Running("sum", "d", inclusive=False), "most": Running("max", "d", inclusive=False), "last": Running("last", "seen")}
+    got = {(r.k, r.at): r for r in running(df, ["k"], "at", specs, width, tiles=tiles).collect()}
+    assert len(got) == len(items)
+    for key in "ab":
+        total, most, last = 0, None, None
+        for _, at, d, seen in [i for i in items if i[0] == key]:
+            last = seen if seen is not None else last
+            row = got[key, at]
+            assert (row.sum, row.before, row.most, row.last) == (total + d, total, most, last)
+            total, most = total + d, d if most is None else max(most, d)
+
+
+def test_the_sweep_reads_its_input_twice_and_joins_once(spark):
+    """The plan of a union: one pass for the sums of tiles, one for the deltas, no other copy of either."""
+    import os
+
+    from locusframe.catalog.adapters import Tables
+
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("test tables are not there")
+    plan = iv.union(Tables(spark, folder).intervals)._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Scan parquet") == 2 and plan.count("Join") == 1
