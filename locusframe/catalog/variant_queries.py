@@ -466,6 +466,45 @@ SELECT *, (SELECT CAST(coalesce(sum(re - rs), 0) AS BIGINT) FROM region) AS eval
 """)
 def benchmark_calls(t):
     """Normalised calls against truth inside domain and confidence, matched on alleles and genotype."""
-    calls = _calls(t)
-    scored = benchmark.benchmark(calls.filter("is_query"), calls.filter("is_truth"), t.left, t.right)
+    both = matching.flagged(_calls(t), F.col("is_query"), F.col("is_truth"))
+    scored = benchmark.evaluate(both, t.left, t.right)
     return scored.withColumn("missing_reasons", F.to_json("missing_reasons"))
+
+
+# two callers: rows that both, one or none of them called
+CALLERS = {"caller_a": "is_query AND l_partkey % 3 <> 0", "caller_b": "is_query AND l_partkey % 4 <> 1", "caller_c": "is_query AND l_partkey < 0"}
+view("caller_parts", f"""
+SELECT caller, contig, pos, ref, alt, alt_copies, unnest(CASE WHEN q AND t THEN ['tp', 'tp_baseline'] WHEN q THEN ['fp'] ELSE ['fn'] END) AS part FROM (
+  SELECT caller, contig, pos, ref, alt, alt_copies, bool_or(CASE caller {' '.join(f"WHEN '{c}' THEN {sql}" for c, sql in CALLERS.items())} END) AS q, bool_or(is_truth) AS t
+  FROM (SELECT *, CAST(split_part(row_id, '.', 3) AS BIGINT) AS l_partkey FROM vnormal v WHERE EXISTS (SELECT 1 FROM region WHERE rc = contig AND rs <= pos - 1 AND pos - 1 < re)), (SELECT unnest({list(CALLERS)}) AS caller)
+  GROUP BY ALL) WHERE q OR t
+""".replace("GROUP BY ALL", "GROUP BY 1, 2, 3, 4, 5, 6"))
+view("caller_classes", f"""
+SELECT caller, variant_class, coalesce(tp_query, 0) AS tp_query, coalesce(tp_truth, 0) AS tp_truth, coalesce(fp, 0) AS fp, coalesce(fn, 0) AS fn
+FROM (SELECT * FROM (VALUES ('SNP'), ('INDEL'), ('OTHER')) c(variant_class), (SELECT unnest({list(CALLERS)}) AS caller)) LEFT JOIN (
+  SELECT caller, CASE WHEN length(ref) = 1 AND length(alt) = 1 THEN 'SNP' WHEN length(ref) <> length(alt) THEN 'INDEL' ELSE 'OTHER' END AS variant_class,
+         count(*) FILTER (part = 'tp') AS tp_query, count(*) FILTER (part = 'tp_baseline') AS tp_truth,
+         count(*) FILTER (part = 'fp') AS fp, count(*) FILTER (part = 'fn') AS fn FROM caller_parts GROUP BY 1, 2) USING (caller, variant_class)
+""")
+
+
+def _by_caller(t, chunks=None):
+    own = F.array_compact(F.array(*[F.when(F.expr(f"({sql}) or is_truth"), F.struct(F.lit(c).alias("caller"), F.expr(sql).alias("q"))) for c, sql in CALLERS.items()]))
+    calls = _calls(t).withColumn("_c", F.explode(own)).withColumn("caller", F.col("_c.caller"))
+    both = matching.flagged(calls, F.col("_c.q"), F.col("is_truth"), ["caller"])
+    scored = benchmark.evaluate(both, t.left, t.right, chunks, callers=list(CALLERS))
+    return scored.withColumn("missing_reasons", F.to_json("missing_reasons"))
+
+
+@query("c04_benchmark_of_callers", f"""
+SELECT *, (SELECT CAST(coalesce(sum(re - rs), 0) AS BIGINT) FROM region) AS evaluated_bases FROM ({METRICS.replace("{source}", "caller_classes").replace("SELECT variant_class", "SELECT caller, variant_class", 1)})
+""")
+def benchmark_of_callers(t):
+    """Several callers against one truth in one job; one of them called nothing."""
+    return _by_caller(t)
+
+
+@query("c04_benchmark_with_rescue")
+def benchmark_with_rescue(t):
+    """The same with haplotype rescue of what the exact match left over, dense chains included."""
+    return _by_caller(t, t.chunks)

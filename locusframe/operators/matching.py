@@ -32,6 +32,12 @@ def sides(query: DataFrame, truth: DataFrame, extra: list[str] | None = None) ->
     return both.groupBy(*keys).agg(F.max("q").alias("in_query"), F.max("t").alias("in_truth"))
 
 
+def flagged(calls: DataFrame, query: Column, truth: Column, extra: list[str] | None = None) -> DataFrame:
+    """``sides`` of one table whose rows tell by two flags to which side they belong; read once."""
+    rows = calls.select(*(extra or []), *KEY, query.alias("_q"), truth.alias("_t")).filter("_q or _t")
+    return rows.groupBy(*(extra or []), *KEY).agg(F.max("_q").alias("in_query"), F.max("_t").alias("in_truth"))
+
+
 def label(matched: DataFrame) -> DataFrame:
     """``tp``+``tp_baseline``, ``fp`` or ``fn`` rows. A genotype difference is one fp and one fn."""
     labels = (
@@ -44,8 +50,13 @@ def label(matched: DataFrame) -> DataFrame:
 
 def match(query: DataFrame, truth: DataFrame, *regions: DataFrame) -> DataFrame:
     """Partition the calls and truth that lie in every region."""
+    return match_sides(sides(query, truth), *regions)
+
+
+def match_sides(both: DataFrame, *regions: DataFrame) -> DataFrame:
+    """Partition the alleles of ``sides`` or ``flagged`` that lie in every region."""
     # Always true, but it keeps both uses of the aggregate identical, so its shuffle is reused.
-    matched = sides(query, truth).filter("in_query or in_truth")
+    matched = both.filter("in_query or in_truth")
     return label(restrict(matched, *regions) if regions else matched)
 
 

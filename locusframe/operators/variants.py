@@ -18,12 +18,25 @@ from .ordered import Running, running
 from .rules import Rule, settled
 
 
-def check_reference(variants: DataFrame, chunk_table: DataFrame, row_id: str, size: int = CHUNK) -> DataFrame:
-    """Add ``ref_ok``: REF, of whatever length, is what the reference holds there."""
-    placed = variants.withColumns({"start": F.col("pos") - 1, "end": F.col("pos") - 1 + F.length("ref")})
+#: Bases before a record that are read with its REF, enough for most alignments.
+LOOKBACK = 64
+
+
+def check_reference(variants: DataFrame, chunk_table: DataFrame, row_id: str, size: int = CHUNK, lookback: int = 0) -> DataFrame:
+    """Add ``ref_ok``: REF, of whatever length, is what the reference holds there.
+
+    With ``lookback`` the same read also brings ``_before``: up to so many bases in front of the record.
+    """
+    first = F.greatest(F.col("pos") - 1 - lookback, F.lit(0))
+    placed = variants.withColumns({"start": first, "end": F.col("pos") - 1 + F.length("ref")})
     seen = windows(placed, chunk_table, row_id, size, how="left")
-    ok = F.coalesce(F.upper("window") == F.col("ref"), F.lit(False)) & (F.col("pos") >= 1)
-    return settled(seen, "ref_ok", ok).select(*variants.columns, "ref_ok")
+    ahead = (F.col("pos") - 1 - F.col("start")).cast("int")
+    own = F.upper(F.substring("window", ahead + 1, F.length("ref")))
+    ok = F.coalesce(own == F.col("ref"), F.lit(False)) & (F.col("pos") >= 1)
+    judged = settled(seen, "ref_ok", ok)
+    if not lookback:
+        return judged.select(*variants.columns, "ref_ok")
+    return judged.select(*variants.columns, "ref_ok", F.upper(F.substring("window", F.lit(1), ahead)).alias("_before"))
 
 
 def reference_mismatches(variants: DataFrame, chunk_table: DataFrame, row_id: str, size: int = CHUNK) -> DataFrame:
@@ -97,44 +110,66 @@ def _trimmed(variants: DataFrame) -> DataFrame:
     return located.drop("_s")
 
 
-def left_align(variants: DataFrame, chunk_table: DataFrame, row_id: str, lookback: int = 64, size: int = CHUNK) -> DataFrame:
+def _needs_reference() -> Column:
+    return F.col("_core").isNotNull() & (F.col("_start") > 0)
+
+
+def _shifted(seen: DataFrame) -> DataFrame:
+    """Add how far each row moves left (``_k``) inside ``_window``, the reference text that ends at its
+    ``_start``, and whether that text was too short to tell (``_full``)."""
+    # One base must stay as the anchor, so a shift may use all but the first window base.
+    room = F.when(_needs_reference(), F.greatest(F.length("_window") - 1, F.lit(0))).otherwise(0)
+    copies = F.repeat("_core", (F.col("_room") / F.length("_core")).cast("int") + 1)
+    periodic = F.substring(copies, -F.col("_room"), F.col("_room"))
+    shift = F.when(F.col("_room") > 0, _common(F.col("_window"), periodic, F.col("_room"), "suffix"))
+    full = (F.col("_room") > 0) & (F.col("_k") == F.col("_room")) & (F.col("_start") > F.length("_window"))
+    return seen.withColumn("_room", room).withColumn("_k", F.coalesce(shift, F.lit(0))).withColumn("_full", full).drop("_room")
+
+
+def _finished(moved: DataFrame, columns: list[str], chunk_table: DataFrame, row_id: str, reach: int, size: int) -> DataFrame:
+    """Rewrite shifted rows; those whose window was too short are read again with one eight times as long."""
+    done = []
+    while True:
+        done.append(_rewritten(moved.filter("not _full")).select(*columns))
+        work = moved.filter("_full").drop("_window", "_k", "_full")
+        if work.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        reach *= 8
+        moved = reliable_checkpoint(_shifted(_placed(work, chunk_table, row_id, reach, size)))
+
+
+def _placed(work: DataFrame, chunk_table: DataFrame, row_id: str, reach: int, size: int) -> DataFrame:
+    placed = work.withColumns({"start": F.col("_start") - reach, "end": F.col("_start")})
+    seen = windows(placed, chunk_table, row_id, size, max_span=reach if reach <= size else None, how="left")
+    return seen.withColumn("_window", F.upper(F.coalesce("window", F.lit("")))).drop("window", "start", "end")
+
+
+def left_align(variants: DataFrame, chunk_table: DataFrame, row_id: str, lookback: int = LOOKBACK, size: int = CHUNK) -> DataFrame:
     """Left-align and trim each variant against the reference.
 
     A pure insertion or deletion of text S of length m moves left by k, the length of the run over
     which the reference before it repeats S with period m: one suffix comparison with repeated S,
-    no step-by-step rewriting. Only such rows meet the reference; SNVs and complex alleles pass by.
-    The aligned rows are checkpointed; those whose run fills the window are redone with a window eight
-    times as long, so no shift is cut short.
+    no step-by-step rewriting. Only such rows meet the reference and are checkpointed; SNVs and complex
+    alleles pass by. Rows whose run fills the window are redone with a longer one, so no shift is cut short.
     """
     columns = variants.columns
-    # Written once, as two branches read it: what made the rows is not run twice.
-    trimmed = reliable_checkpoint(_trimmed(variants))
-    needs = F.col("_core").isNotNull() & (F.col("_start") > 0)
-    bare = trimmed.filter(~needs).withColumns({"_window": F.lit(""), "_k": F.lit(0)})
-    finished = [_rewritten(bare).select(*columns)]
-    work, reach = trimmed.filter(needs), lookback
-    while True:
-        placed = work.withColumns({"start": F.col("_start") - reach, "end": F.col("_start")})
-        span = reach if reach <= size else None
-        seen = windows(placed, chunk_table, row_id, size, max_span=span, how="left")
-        window = F.upper(F.coalesce("window", F.lit("")))
-        # One base must stay as the anchor, so a shift may use all but the first window base.
-        room = F.greatest(F.length("_window") - 1, F.lit(0))
-        copies = F.repeat("_core", (F.col("_room") / F.length("_core")).cast("int") + 1)
-        periodic = F.substring(copies, -F.col("_room"), F.col("_room"))
-        shift = F.when(F.col("_room") > 0, _common(F.col("_window"), periodic, F.col("_room"), "suffix"))
-        moved = (
-            seen.withColumn("_window", window)
-            .withColumn("_room", room)
-            .withColumn("_k", F.coalesce(shift, F.lit(0)))
-            .withColumn("_full", (F.col("_room") > 0) & (F.col("_k") == F.col("_room")) & (F.col("start") > 0))
-        )
-        moved = reliable_checkpoint(moved)
-        finished.append(_rewritten(moved.filter("not _full")).select(*columns))
-        rest = moved.filter("_full").select(*work.columns)
-        if rest.isEmpty():
-            return reduce(DataFrame.unionByName, finished)
-        work, reach = rest, reach * 8
+    trimmed = _trimmed(variants)
+    bare = trimmed.filter(~_needs_reference()).withColumns({"_window": F.lit(""), "_k": F.lit(0)})
+    moved = reliable_checkpoint(_shifted(_placed(trimmed.filter(_needs_reference()), chunk_table, row_id, lookback, size)))
+    return _rewritten(bare).select(*columns).unionByName(_finished(moved, columns, chunk_table, row_id, lookback, size))
+
+
+def align_checked(checked: DataFrame, chunk_table: DataFrame, row_id: str, lookback: int = LOOKBACK, size: int = CHUNK) -> DataFrame:
+    """``left_align`` of rows that ``check_reference`` read with ``lookback``: no second read of the reference.
+
+    The shifted rows are written once; whatever reads the result reads them, and nothing above runs again.
+    """
+    columns = [c for c in checked.columns if c != "_before"]
+    trimmed = _trimmed(checked)
+    # an event behind its anchor base has that base in front of it too
+    anchor = F.when(F.col("_start") == F.col("pos"), F.substring("ref", 1, 1)).otherwise("")
+    seen = trimmed.withColumn("_window", F.when(_needs_reference(), F.concat(F.coalesce("_before", F.lit("")), anchor)).otherwise("")).drop("_before")
+    return _finished(reliable_checkpoint(_shifted(seen)), columns, chunk_table, row_id, lookback, size)
 
 
 def _rewritten(moved: DataFrame) -> DataFrame:
@@ -187,17 +222,17 @@ def known_site_filter(sites: DataFrame, contigs: DataFrame, chunk_table: DataFra
     return kept, removed, reference_mismatches(kept, chunk_table, row_id)
 
 
-def clusters(variants: DataFrame, gap: int) -> DataFrame:
-    """Add ``cluster``: the start of a chain of records at most ``gap`` bases apart."""
+def clusters(variants: DataFrame, gap: int, keys: list[str] = ["contig"]) -> DataFrame:
+    """Add ``cluster``: the start of a chain of records at most ``gap`` bases apart inside ``keys``."""
     spans = (
-        variants.select("contig", F.col("pos").alias("pos"), (F.col("pos") + F.length("ref") - 1).alias("_end"))
-        .groupBy("contig", "pos")
+        variants.select(*keys, F.col("pos").alias("pos"), (F.col("pos") + F.length("ref") - 1).alias("_end"))
+        .groupBy(*keys, "pos")
         .agg(F.max("_end").alias("_end"))
     )
-    seen = running(spans, ["contig"], "pos", {"_reach": Running("max", "_end", inclusive=False)})
+    seen = running(spans, keys, "pos", {"_reach": Running("max", "_end", inclusive=False)})
     opened = seen.withColumn("_open", F.when(F.col("_reach").isNull() | (F.col("pos") > F.col("_reach") + gap), F.col("pos")))
-    named = running(opened, ["contig"], "pos", {"cluster": Running("max", "_open")}).select("contig", "pos", "cluster")
-    return variants.join(named, ["contig", "pos"])
+    named = running(opened, keys, "pos", {"cluster": Running("max", "_open")}).select(*keys, "pos", "cluster")
+    return variants.join(named, [*keys, "pos"])
 
 
 def site_oracle(records: DataFrame, sites: DataFrame) -> DataFrame:

@@ -144,9 +144,9 @@ def best_rescue(text, query, truth):
 
 def test_haplotype_rescue_equals_brute_force(spark):
     rng = random.Random(11)
-    text = "".join(rng.choice("AC") for _ in range(300))
+    text = "".join(rng.choice("AC") for _ in range(1800))
     everything, wanted = [], {}
-    for case in range(8):
+    for case in range(50):
         base = 10 + case * 35
         sides = {False: [], True: []}
         for truth in (False, True):
@@ -179,3 +179,37 @@ def test_long_deletions_and_rejected_records(spark):
     kept = benchmark.normalize(calls, table).collect()
     assert [r.row_id for r in kept] == ["v0"] and len(kept[0].ref) - len(kept[0].alt) == 700
     assert rows(benchmark.rejected(calls, table), "row_id", "rule") == [("v1", "reference"), ("v2", "position"), ("v3", "ref_alphabet"), ("v4", "alt_equals_ref")]
+
+
+def test_a_stretch_too_wide_is_told_and_the_next_one_decided(spark):
+    """With few states allowed a dense stretch comes back whole with a rule; a lone pair behind it is rescued."""
+    text = "ACGT" * 100
+    rows = [(f"q{i}", False, "m", 40 + i, text[39 + i : 41 + i], text[39 + i], 1) for i in range(8)]
+    rows += [(f"t{i}", True, "m", 40 + i, text[39 + i], text[39 + i] * 2, 1) for i in range(8)]
+    rows += [("a", False, "m", 301, text[300:302], "GG", 1), ("b", True, "m", 301, text[300], "G", 1), ("c", True, "m", 302, text[301], "G", 1)]
+    df = spark.createDataFrame(rows, "row_id string, truth boolean, contig string, pos long, ref string, alt string, alt_copies int")
+    table = chunk_table(spark, text)
+    got = {r.row_id: (r.rescued, r.rule) for r in haplotypes.rescue(df, table, gap=300, size=64, most=20).collect()}
+    assert all(v == (False, "too_wide") for k, v in got.items() if k not in "abc") and len(got) == 19
+    assert all(got[k] == (True, None) for k in "abc")
+    free = haplotypes.rescue(df, table, gap=300, size=64).collect()
+    assert all(r.rule is None for r in free) and all(r.rescued for r in free if r.row_id in "abc")
+
+
+def test_one_read_of_the_reference_aligns_like_two(spark):
+    rng = random.Random(23)
+    text = "".join(rng.choice("AC") * rng.choice([1, 1, 2, 30]) for _ in range(60))
+    rows = []
+    for i in range(120):
+        at, n = rng.randrange(len(text) - 6), rng.randint(1, 4)
+        ref = text[at : at + n]
+        alt = ref[0] if n > 1 else ref + "".join(rng.choice("AC") for _ in range(rng.randint(1, 3)))
+        rows.append((f"v{i}", "m", at + 1, ref, [alt], "0/1"))
+    df = spark.createDataFrame(rows, "row_id string, contig string, pos long, ref string, alts array<string>, gt string")
+    table = chunk_table(spark, text)
+    checked = variants.check_reference(df, table, "row_id", 64, lookback=4).filter("ref_ok").drop("ref_ok")
+    one = variants.align_checked(variants.split_alleles(checked), table, "row_id", 4, 64)
+    two = variants.left_align(variants.split_alleles(checked.drop("_before")), table, "row_id", 16, 64)
+    columns = ["row_id", "contig", "pos", "ref", "alt"]
+    assert sorted(map(tuple, one.select(*columns).collect())) == sorted(map(tuple, two.select(*columns).collect()))
+    assert one.count() == 120
