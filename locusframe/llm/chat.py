@@ -19,12 +19,59 @@ def canonical(value: object) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
 
 
+class Refused(ValueError):
+    """Why a text is not taken as the arguments of a call."""
+
+
+def _finite(text: str) -> float:
+    value = float(text)
+    if value in (float("inf"), float("-inf")):
+        raise Refused("$: not finite")
+    return value
+
+
+def _no_constant(text: str) -> None:
+    raise Refused("$: not finite")
+
+
+def _once(pairs: list[tuple[str, object]]) -> dict:
+    found = dict(pairs)
+    if len(found) < len(pairs):
+        raise Refused("$: repeated key")
+    return found
+
+
+def parsed(text: str) -> tuple[object, list[str]]:
+    """The value of a JSON text, or the text itself with the fault that keeps it from being written as JSON.
+
+    Refused are texts that are no JSON, NaN and numbers beyond a double, repeated keys, half of a
+    surrogate pair, and nesting deeper than the reader goes.
+    """
+    try:
+        value = json.loads(text, parse_float=_finite, parse_constant=_no_constant, object_pairs_hook=_once)
+        canonical(value).encode("utf-8")
+    except Refused as refused:
+        return text, [str(refused)]
+    except UnicodeEncodeError:
+        return text, ["$: not text"]
+    except RecursionError:
+        return text, ["$: too deep"]
+    except ValueError:
+        return text, ["$: not JSON"]
+    return value, []
+
+
+def _same(a: object, b: object) -> bool:
+    """Equality of JSON values: true is not 1, inside of lists and objects too."""
+    return canonical(a) == canonical(b) or type(a) in (int, float) and type(b) in (int, float) and a == b
+
+
 def faults(value: object, schema: dict, at: str = "$") -> list[str]:
     """Where a value breaks a JSON schema (type, enum, bounds, required, properties, items)."""
     kind = schema.get("type")
     if kind and (not isinstance(value, TYPES[kind]) or kind in ("integer", "number") and isinstance(value, bool)):
         return [f"{at}: not {kind}"]
-    found = [f"{at}: not allowed"] if "enum" in schema and value not in schema["enum"] else []
+    found = [f"{at}: not allowed"] if "enum" in schema and not any(_same(value, x) for x in schema["enum"]) else []
     if isinstance(value, str):
         found += [f"{at}: too short"] * (len(value) < schema.get("minLength", 0)) + [f"{at}: too long"] * (len(value) > schema.get("maxLength", len(value)))
     if isinstance(value, (int, float)) and not isinstance(value, bool):
@@ -47,11 +94,7 @@ def _checked(schemas: dict[str, dict]):
         for batch in batches:
             problems, lines = [], []
             for row in batch.to_pylist():
-                own: list[str] = []
-                try:
-                    arguments = json.loads(row["arguments"]) if row["arguments"] is not None else None
-                except ValueError:
-                    arguments, own = row["arguments"], ["$: not JSON"]
+                arguments, own = parsed(row["arguments"]) if row["arguments"] is not None else (None, [])
                 if row["name"] not in schemas:
                     own.append("unknown tool")
                 elif not own:
@@ -100,7 +143,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     n_calls, n_results, depth (place in the chain of calls; sorting by it is a topological order; null on
     a cycle), faults (list; also "no result", "result before call", "repeated call" and "cycle") and json.
     Calls without identifier are dropped from the links and cannot have results; orphan results come back
-    with a null turn and the fault "no call".
+    with a null turn and the fault "no call". Arguments that ``parsed`` refuses stay as text, with its fault.
     """
     first_call = calls.filter("call_id is not null").groupBy("call_id").agg(F.min(F.struct("turn", "name", "arguments", "after")).alias("call"), F.count(F.lit(1)).alias("n_calls"))
     first_result = results.filter("call_id is not null").groupBy("call_id").agg(F.min(F.struct("turn", "result")).alias("answer"), F.count(F.lit(1)).alias("n_results"))

@@ -32,6 +32,7 @@ PERMUTATIONS, BANDS, ROWS = 128, 32, 4
 SLACK = 20
 #: Classes in one tile of a bucket; a larger bucket is compared tile by tile.
 TILE = 256
+SAME_SET = ["n_shingles", "set_sum", "set_xor"]
 BLOCK = 1024
 
 _random = np.random.default_rng(20_240_607)
@@ -63,6 +64,13 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (least >> U(32)).astype(np.uint32)
 
 
+def digest(shingles: np.ndarray) -> tuple[int, int, int]:
+    """Size, sum and exclusive or of a set: equal for equal sets."""
+    if not len(shingles):
+        return 0, 0, 0
+    return len(shingles), int(mix(shingles).sum(dtype=np.uint64).astype(np.int64)), int(np.bitwise_xor.reduce(mix(shingles + U(0x632BE59BD9B4E019))).astype(np.int64))
+
+
 def _signed(size: int) -> Callable:
     numbers = np.arange(BANDS, dtype=np.uint64) * U(0x9E3779B97F4A7C15)
 
@@ -70,9 +78,8 @@ def _signed(size: int) -> Callable:
         for batch in batches:
             n, sums, xors, signs, bands = [], [], [], [], []
             for found in shingle_sets(batch.column("text"), size):
-                n.append(len(found))
-                sums.append(int(mix(found).sum(dtype=np.uint64).astype(np.int64)) if len(found) else 0)
-                xors.append(int(np.bitwise_xor.reduce(mix(found + U(0x632BE59BD9B4E019))).astype(np.int64)) if len(found) else 0)
+                for values, x in zip((n, sums, xors), digest(found)):
+                    values.append(x)
                 own = signature(found) if len(found) else np.empty(0, np.uint32)
                 signs.append(own.tobytes())
                 keys = np.empty(0, np.uint64)
@@ -90,15 +97,6 @@ def _signed(size: int) -> Callable:
     return run
 
 
-def _full_sets(size: int) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [x.tobytes() for x in shingle_sets(batch.column("text"), size)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], names=["id", "shingles"])
-
-    return run
-
-
 def _alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
         return False
@@ -172,10 +170,24 @@ def _tile(percent: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def _sets_of(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """Full sets of the given documents: id, shingles."""
-    texts = docs.join(ids.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    return texts.dropDuplicates(["doc_id"]).mapInArrow(_full_sets(size), "id long, shingles binary")
+def _own_sets(size: int) -> Callable:
+    """Full sets of texts, of those whose set is that of their class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = list(shingle_sets(batch.column("text"), size))
+            same = [digest(x) == want for x, want in zip(found, zip(*(batch.column(c).to_pylist() for c in SAME_SET)))]
+            ids = batch.column("id").filter(pa.array(same, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([ids, pa.array([x.tobytes() for x, own in zip(found, same) if own], pa.binary())], names=["id", "shingles"])
+
+    return run
+
+
+def _sets_of(docs: DataFrame, classes: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """Full sets of the given classes: id, shingles. A class is read from a document that has its set."""
+    wanted = classes.select("id", F.col("least").alias("doc_id"), *SAME_SET).join(ids.select("id").distinct(), "id", "left_semi")
+    texts = docs.join(wanted, "doc_id").withColumn("_print", F.xxhash64("text")).dropDuplicates(["doc_id", "id", "_print"]).drop("_print")
+    return texts.mapInArrow(_own_sets(size), "id long, shingles binary")
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
@@ -185,16 +197,16 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     document's set holds its distinct shingles of ``shingle_words`` words, or its whole sequence if it has
     fewer; without words or text it is empty and linked with nothing. Result, one row per row: doc_id,
     n_shingles, component_id (smallest doc_id reachable over links, itself included), kept (doc_id =
-    component_id). Ids should be unique; rows that share an id and differ in text share their links'
-    component only through the first of them. Rows with a null doc_id are linked with nothing and kept,
-    with a null component_id. Other columns are not read.
+    component_id). Rows that share an id and differ in text are documents of their own, each with the links
+    of its own set. Rows with a null doc_id are linked with nothing and kept, with a null component_id.
+    Other columns are not read.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     signed = written(texts.mapInArrow(_signed(shingle_words), "doc_id long, n_shingles long, set_sum long, set_xor long, signature binary, bands array<long>"), "signed")
-    same_set = ["n_shingles", "set_sum", "set_xor"]
     usable = signed.filter("n_shingles > 0 and doc_id is not null")
-    owners = usable.groupBy(*same_set).agg(F.min("doc_id").alias("id"))
-    classes = signed.join(owners.select(F.col("id").alias("doc_id"), *same_set), ["doc_id", *same_set], "left_semi").select(F.col("doc_id").alias("id"), "signature", "bands")
+    # a class is a set of shingles, whatever ids its documents have; it is read from the smallest of them
+    owners = written(usable.groupBy(*SAME_SET).agg(F.min("doc_id").alias("least")).withColumn("id", F.monotonically_increasing_id()), "owners")
+    classes = signed.select("signature", "bands", F.col("doc_id").alias("least"), *SAME_SET).join(owners, ["least", *SAME_SET]).select("id", "least", *SAME_SET, "signature", "bands")
     classes = written(classes.dropDuplicates(["id"]), "classes")
 
     member = classes.select("id", F.explode("bands").alias("bucket"))
@@ -209,7 +221,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     )
     looked = written(looked, "looked")
     # the texts are read a second time, once, for the full sets of all classes that share a bucket
-    sets = written(_sets_of(texts, shared.select("id"), shingle_words), "sets")
+    sets = written(_sets_of(texts, classes, shared, shingle_words), "sets")
     links = (
         looked.join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("left")), "u")
         .join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("right")), "v")
@@ -220,8 +232,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     links = links.unionByName(_links_within(sets, shared, labels, percent))
     labels = connected(links).withColumnsRenamed({"node": "id", "component": "label"})
 
-    owned = owners.join(labels, "id", "left").select(*same_set, F.coalesce("label", "id").alias("component_id"))
-    joined = signed.select("doc_id", *same_set).join(owned, same_set, "left")
+    # each document by its class, and each class by the smallest document of its component
+    owned = owners.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    least = owned.groupBy("label").agg(F.min("least").alias("component_id"))
+    named = owned.join(least, "label").select(*SAME_SET, "component_id")
+    joined = signed.select("doc_id", *SAME_SET).join(named, SAME_SET, "left")
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id")).alias("component_id")
     return joined.select("doc_id", "n_shingles", component).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
