@@ -5,47 +5,74 @@ written to the shared folder and read back before the next one begins, so a lost
 more than the running stage's own tasks. All stages but the last return the columns of ``documents``,
 other columns included. No table, or a table without rows, gives an empty result.
 
-SQL cannot express language profiles, MinHash or packing, so there is no twin; ``tests/llm`` compares
-every stage with a brute-force version.
+SQL cannot express language profiles, MinHash or packing, so there is no twin; ``tests/llm`` compares the
+dedup stages with brute force, the others by what they must keep and drop.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusframe.llm import bpe, exact, language, minhash, packing, recompress
 from locusframe.llm.store import written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-#: Least likeness (1 less the out-of-place distance) to the nearest language; below it a text is no prose
-#: of any language that the corpus names.
-LEAST_LIKENESS = 0.02
+#: A document goes if its likeness (1 less the out-of-place distance to the nearest language) is below this
+#: share of what all but this share of the labelled documents of its length (a power of two) reach.
+LIKE_SHARE, LIKE_QUANTILE = 0.5, 0.01
+#: Labelled documents of a length below which those of all lengths tell the bound.
+LEAST_LABELLED = 100
 ORACLE_SQL = None
 
 
+def _packed(docs: DataFrame, *more: Column) -> DataFrame:
+    """All columns of a row in one, ``own``, so that no name a stage adds can clash with theirs."""
+    return docs.select(F.struct(*docs.columns).alias("own"), *more)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter, without text, or like none of the languages that ``lang`` names.
 
-    A document whose ``lang`` is null is judged like any other; the profiles learn from the others.
+    A document whose ``lang`` is null is judged like any other; the profiles and bounds come from the others.
     """
-    profiles = language.learn(docs)
-    judged = language.identify(docs, profiles, docs.columns)
-    return judged.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LIKENESS)).select(*docs.columns)
+    judged = written(language.identify(_packed(docs, F.col("text").alias("text")), language.learn(docs), ["own"]), "judged")
+    size = F.floor(F.log2(F.greatest(F.char_length("own.text"), F.lit(1))))
+    labelled = judged.filter("own.lang is not null and own.text is not null").withColumn("size", size)
+    usual = [F.percentile_approx("score", LIKE_QUANTILE, 10_000).alias("like"), F.count(F.lit(1)).alias("n")]
+    # one row for each power of two that a text's length can have, and one for all
+    bounds = {r["size"]: r["like"] * LIKE_SHARE for r in labelled.rollup("size").agg(*usual).filter(f"(size is null or n >= {LEAST_LABELLED}) and like is not null").collect()}
+    least = F.lit(bounds.pop(None, 0.0))
+    if bounds:
+        least = F.coalesce(F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair])[size], least)
+    return judged.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= least)).select("own.*")
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Rows with a number each, written once, so that rows that share an id or have none can be told apart."""
+    return written(_packed(docs, F.monotonically_increasing_id().alias("row_no")), "numbered")
+
+
+def _first_of_each(numbered: DataFrame, groups: DataFrame) -> DataFrame:
+    """Of each group (row_no, group) the row with the smallest doc_id; null ids last, ties by number."""
+    ids = numbered.select("row_no", F.struct(F.col("own.doc_id").isNull().alias("none"), F.col("own.doc_id").alias("doc_id"), "row_no").alias("rank"))
+    stays = groups.join(ids, "row_no").groupBy("group").agg(F.min("rank")["row_no"].alias("row_no")).select("row_no")
+    return numbered.join(stays, "row_no", "left_semi").select("own.*")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts (white space aside) the smallest doc_id stays; rows without doc_id stay."""
-    gone = exact.exact_duplicates(docs).filter("doc_id is not null and not kept").select("doc_id", "text_sha256").distinct()
-    digest = F.sha2(exact.normalised(), 256)
-    return docs.withColumn("_digest", digest).join(gone.withColumnsRenamed({"doc_id": "_gone", "text_sha256": "_gone_digest"}), (F.col("doc_id") == F.col("_gone")) & (F.col("_digest") == F.col("_gone_digest")), "left_anti").select(*docs.columns)
+    """Of equal texts (white space aside) the row with the smallest doc_id stays, or one of those without id."""
+    numbered = _numbered(docs)
+    found = exact.exact_duplicates(numbered.select(F.col("row_no").alias("doc_id"), F.col("own.text").alias("text")))
+    return _first_of_each(numbered, found.select(F.col("doc_id").alias("row_no"), F.col("keep_id").alias("group")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (shingles of five words, 0.8) the smallest doc_id stays."""
-    gone = minhash.near_duplicates(docs).filter("doc_id is not null and not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    numbered = _numbered(docs)
+    found = minhash.near_duplicates(numbered.select(F.col("row_no").alias("doc_id"), F.col("own.text").alias("text")))
+    return _first_of_each(numbered, found.select(F.col("doc_id").alias("row_no"), F.col("component_id").alias("group")))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
