@@ -157,6 +157,22 @@ def reference_scan(t):
     return fasta.contig_md5(fasta.chunks(fasta.parse_fasta(_fasta(t))))
 
 
+view("fachunks", """
+SELECT c, i, sha256(upper(substr(whole, 512 * i + 1, 512))) AS d, least(512, length(whole) - 512 * i) AS n FROM (
+  SELECT c, whole, unnest(range(0, (length(whole) + 511) // 512)) AS i FROM (SELECT c, string_agg(bases, '' ORDER BY k) AS whole FROM falines GROUP BY c))
+""")
+TREE = "SELECT c, i // 4 AS i, CASE WHEN count(*) = 1 THEN min(d) ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d, sum(n) AS n, sum(p) AS p FROM {source} GROUP BY c, i // 4"
+
+
+@query("s08_digest_tree", f"""
+SELECT 'ctg' || c AS contig, CAST(n AS BIGINT) AS length, CAST(p AS BIGINT) AS pieces, d AS sha256
+FROM ({TREE.format(source="(" + TREE.format(source="(" + TREE.format(source="(" + TREE.format(source="(SELECT *, 1 AS p FROM fachunks)") + ")") + ")") + ")")})
+""")
+def digest_tree(t):
+    """Small nodes, so that the trees of these contigs are two levels high."""
+    return fasta.contig_digests(fasta.chunks(fasta.parse_fasta(_fasta(t))), fan_out=4)
+
+
 @query("w11_byte_offsets", """
 SELECT 'ctg' || c AS contig, min(off) AS "offset", max(n) AS line_bases FROM (
   SELECT c, n, k % 100 AS i, sum(n + 1 + CASE WHEN k % 100 = 0 THEN length('>ctg' || c || ' invented') + 1 ELSE 0 END) OVER (ORDER BY k)

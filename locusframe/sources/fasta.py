@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.digests import FAN_OUT, digest_tree
 from ..operators.ordered import Running, running
 from ..operators.skew import hot_keys, salted_join
 
@@ -189,11 +190,22 @@ def masked_chunks(chunk_table: DataFrame, sites: DataFrame, size: int = CHUNK) -
     )
 
 
+def contig_digests(chunk_table: DataFrame, fan_out: int = FAN_OUT) -> DataFrame:
+    """``contig, length, pieces, sha256``: the digest tree over the upper-case chunks of each contig.
+
+    Chunks are hashed where they lie and digests meet in groups of ``fan_out``, so a contig of any length
+    spreads over the cluster; the digest names the sequence together with the chunk size.
+    """
+    hashed = chunk_table.select("contig", "chunk_id", F.sha2(F.upper("bases"), 256).alias("sha256"), F.length("bases").alias("length"))
+    return digest_tree(hashed, ["contig"], "chunk_id", "sha256", "length", fan_out).select("contig", "length", "pieces", "sha256")
+
+
 def contig_md5(chunk_table: DataFrame) -> DataFrame:
     """MD5 of each contig's upper-case bases.
 
     MD5 is sequential, so a contig is streamed through one task chunk by chunk; memory stays at one
-    Arrow batch and the format bounds a contig at 2^31 bases.
+    Arrow batch and the format bounds a contig at 2^31 bases. Use it where a dictionary states an MD5;
+    ``contig_digests`` identifies a contig without that.
     """
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         name, state, length = None, None, 0

@@ -113,3 +113,34 @@ def test_text_grammars(spark):
 )
 def test_json_violation(spark, value, reason):
     assert spark.createDataFrame([(value,)], "v string").select(documents.json_violation(F.col("v")).alias("r")).first().r == reason
+
+
+def test_long_files_by_ranges(spark, tmp_path):
+    """Files longer than a part are hashed range by range; their root follows from the parts."""
+    from locusframe.sources import files
+
+    data = {"a/short.bin": b"x" * 90, "a/long.bin": bytes(range(256)) * 5, "even.bin": b"y" * 300}
+    for name, content in data.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(content)
+    got = {r.path: r for r in files.file_inventory(spark, str(tmp_path), part_bytes=100).collect()}
+    digest = lambda b: hashlib.sha256(b).hexdigest()
+    for name, content in data.items():
+        parts = [digest(content[i : i + 100]) for i in range(0, max(1, len(content)), 100)]
+        root = parts[0] if len(parts) == 1 else digest("".join(parts).encode())
+        assert (got[name].bytes, got[name].tree_sha256) == (len(content), root)
+        assert got[name].sha256 == (digest(content) if len(content) <= 100 else None)
+
+
+def test_digest_tree_of_many_levels(spark):
+    from locusframe.operators.digests import digest_tree
+
+    leaves = {k: [hashlib.sha256(f"{k}{i}".encode()).hexdigest() for i in range(n)] for k, n in (("one", 1), ("three", 3), ("many", 29))}
+    table = spark.createDataFrame([(k, i, d, 2) for k, ds in leaves.items() for i, d in enumerate(ds)], "k string, at int, d string, n int")
+    want = {}
+    for k, level in leaves.items():
+        while len(level) > 1:
+            groups = [level[i : i + 3] for i in range(0, len(level), 3)]
+            level = [g[0] if len(g) == 1 else hashlib.sha256("".join(g).encode()).hexdigest() for g in groups]
+        want[k] = (len(leaves[k]), 2 * len(leaves[k]), level[0])
+    assert {r.k: (r.pieces, r.n, r.d) for r in digest_tree(table, ["k"], "at", "d", "n", fan_out=3).collect()} == want
