@@ -204,6 +204,54 @@ def liftover_rejected(t):
     return _lift(t)[1].groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+# chains of four blocks; every other chain runs backwards, and targets leave gaps between blocks
+view("chainblocks", """
+SELECT contig, bs, be, k // 4 AS chain, CASE WHEN k // 4 % 2 = 1 THEN '-' ELSE '+' END AS strand,
+       k // 4 * 600 + CASE WHEN k // 4 % 2 = 1 THEN (3 - k % 4) * 133 ELSE k % 4 * 133 END AS ts FROM (SELECT *, bs // 128 AS k FROM liftblocks)
+""")
+view("chained", """
+SELECT name, "start", "end", chain, strand, sum(hi - lo) AS bases, count(*) AS pieces, min(t) AS to_start, max(t + hi - lo) AS to_end
+FROM (SELECT *, CASE WHEN strand = '-' THEN ts + be - hi ELSE ts + lo - bs END AS t FROM (
+  SELECT n.*, b.*EXCLUDE (contig), greatest(n."start", bs) AS lo, least(n."end", be) AS hi FROM named_iv n JOIN chainblocks b ON b.contig = n.contig AND bs < n."end" AND n."start" < be
+  AND bs IN (n."start" // 128 * 128, n."start" // 128 * 128 + 128))) GROUP BY 1, 2, 3, 4, 5
+""".replace("b.*EXCLUDE (contig)", "b.bs, b.be, b.chain, b.strand, b.ts"))
+view("chain_choice", """
+SELECT n.name, n."start", n."end", c.chain, c.strand, c.to_start, c.to_end, c.bases, c.pieces, s.total FROM named_iv n
+LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY name ORDER BY bases DESC, chain) AS rn FROM chained) c ON c.name = n.name AND rn = 1
+LEFT JOIN (SELECT name, sum(bases) AS total FROM chained GROUP BY name) s ON s.name = n.name
+""")
+
+
+def _lift_chains(t):
+    named = t.lines.select(F.col("rid").alias("name"), "contig", "start", (F.col("start") + F.col("q")).alias("end"))
+    k = F.floor(F.col("o_orderkey") / 16)
+    back = F.floor(k / 4) % 2 == 1
+    keys = t.read("orders").select(k.alias("k"), F.when(back, "-").otherwise("+").alias("strand"), (F.floor(k / 4) * 600 + F.when(back, 3 - k % 4).otherwise(k % 4) * 133).alias("to_start")).distinct()
+    blocks = keys.crossJoin(F.broadcast(t.contigs.select("contig"))).select(
+        F.floor(F.col("k") / 4).alias("chain"), "contig", (F.col("k") * 128).alias("start"), (F.col("k") * 128 + 120).alias("end"),
+        F.concat(F.lit("lift_"), "contig").alias("to_contig"), "to_start", "strand",
+    )
+    return iv.liftover_chains(named, blocks, 0.9)
+
+
+@query("j29_liftover_chains", """
+SELECT name, "start", "end", chain, 'lift_' || (SELECT contig FROM named_iv v WHERE v.name = c.name) AS to_contig, to_start, to_end, strand, CAST(bases AS BIGINT) AS lifted_bases,
+       CAST(to_end - to_start - bases AS BIGINT) AS to_gap, pieces
+FROM chain_choice c WHERE bases >= 0.9 * ("end" - "start")
+""".replace("'lift_' || (SELECT contig FROM named_iv v WHERE v.name = c.name)", "'lift_' || CASE WHEN CAST(split_part(name, '.', 4) AS BIGINT) % 3 = 0 THEN 'chr1' ELSE 'chr' || (CAST(split_part(name, '.', 4) AS BIGINT) % 22 + 1) END"))
+def liftover_chains(t):
+    """Both strands, with gaps between the blocks of a chain."""
+    return _lift_chains(t)[0].drop("contig")
+
+
+@query("j29_chains_rejected", """
+SELECT name, CASE WHEN bases IS NULL THEN 'unmapped' WHEN total >= 0.9 * ("end" - "start") THEN 'split' ELSE 'low_fraction' END AS reason
+FROM chain_choice WHERE bases IS NULL OR bases < 0.9 * ("end" - "start")
+""")
+def chains_rejected(t):
+    return _lift_chains(t)[1].select("name", "reason")
+
+
 @query("c01_domain_derivation", """
 SELECT 'calling' AS "domain", contig, "start", "end" FROM calling
 UNION ALL SELECT 'evaluation', contig, "start", "end" FROM evaluation

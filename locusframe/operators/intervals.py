@@ -223,3 +223,43 @@ def liftover(intervals: DataFrame, blocks: DataFrame, min_fraction: float = 0.95
     )
     rejected = judged.filter("reason is not null").select("name", "contig", "start", "end", "reason")
     return lifted, rejected
+
+
+def liftover_chains(intervals: DataFrame, blocks: DataFrame, min_fraction: float = 0.95) -> tuple[DataFrame, DataFrame]:
+    """Move named intervals along chains of alignment blocks on either strand, over the gaps between blocks.
+
+    ``blocks``: ``chain, contig, start, end, to_contig, to_start, strand``; a block and its target are equally
+    long, ``to_start`` counts on the forward strand of the target, and on strand ``-`` the bases run backwards.
+    An interval goes along the one chain that carries most of its bases (ties: the first chain). Its target
+    is the span of its pieces there, so gaps on either side stay inside; ``lifted_bases`` counts what the
+    blocks carry and ``to_gap`` the target bases between them. Returns ``(lifted, rejected)`` with a reason for
+    each rejected interval: ``unmapped`` (no block), ``split`` (enough bases, but not in one chain) or
+    ``low_fraction``.
+    """
+    block = F.struct("start", "end", "chain", "to_contig", "to_start", "strand")
+    pieces = overlap_pairs(intervals, blocks.withColumn("block_id", block), "name", "block_id")
+    at = F.col("right_id")
+    forward = at["to_start"] + F.col("start") - at["start"]
+    backward = at["to_start"] + at["end"] - F.col("end")
+    moved = pieces.select(
+        F.col("left_id").alias("name"), at["chain"].alias("chain"), at["to_contig"].alias("to_contig"), at["strand"].alias("strand"),
+        F.when(at["strand"] == "-", backward).otherwise(forward).alias("to_start"),
+        (F.col("end") - F.col("start")).alias("bases"),
+    )
+    by_chain = moved.groupBy("name", "chain").agg(
+        F.min("to_contig").alias("to_contig"), F.min("strand").alias("strand"), F.min("to_start").alias("to_start"),
+        F.max(F.col("to_start") + F.col("bases")).alias("to_end"), F.sum("bases").alias("lifted_bases"), F.count(F.lit(1)).alias("pieces"),
+    )
+    best = F.min(F.struct((-F.col("lifted_bases")).alias("order"), "chain", "to_contig", "strand", "to_start", "to_end", "lifted_bases", "pieces"))
+    chosen = by_chain.groupBy("name").agg(best.alias("b"), F.sum("lifted_bases").alias("all_bases"))
+    needed = F.lit(min_fraction) * (F.col("end") - F.col("start"))
+    judged = intervals.join(chosen, "name", "left").withColumn(
+        "reason",
+        F.when(F.col("b").isNull(), "unmapped")
+        .when(F.col("b.lifted_bases") >= needed, None)
+        .when(F.col("all_bases") >= needed, "split")
+        .otherwise("low_fraction"),
+    )
+    gap = F.col("b.to_end") - F.col("b.to_start") - F.col("b.lifted_bases")
+    lifted = judged.filter("reason is null").select("name", "contig", "start", "end", "b.chain", "b.to_contig", "b.to_start", "b.to_end", "b.strand", "b.lifted_bases", gap.alias("to_gap"), "b.pieces")
+    return lifted, judged.filter("reason is not null").select("name", "contig", "start", "end", "reason")

@@ -158,13 +158,23 @@ def depth_summary(spans: DataFrame, keys: list[str] | None = None, thresholds: t
 
 
 def depth_position_violations(rows: DataFrame, domain: DataFrame) -> DataFrame:
-    """Depth rows against the exact positions of a domain: missing, extra and repeated ones."""
-    expected = domain.select("contig", F.explode(F.sequence(F.col("start") + 1, F.col("end"))).alias("pos")).withColumn("_want", F.lit(True))
-    seen = rows.groupBy("contig", "pos").agg(F.count(F.lit(1)).alias("_n"))
+    """Depth rows against the exact positions of a domain: missing, extra and repeated ones.
+
+    Rows and domain run through one sweep, in which rows side by side collapse to runs; only the runs that
+    break a rule are spelt out base by base. A row without contig or position is extra.
+    """
+    placed = "contig is not null and pos is not null"
+    seen = rows.filter(placed).select("contig", (F.col("pos") - 1).alias("start"), F.col("pos").alias("end"))
+    spans = following(cover([seen, domain], ["contig"]), ["contig"], "pos", "end")
     rule = (
-        F.when(F.col("_n").isNull(), "missing").when(F.col("_want").isNull(), "extra").when(F.col("_n") > 1, "repeated")
+        F.when((F.col("c1") > 0) & (F.col("c0") == 0), "missing")
+        .when((F.col("c1") == 0) & (F.col("c0") > 0), "extra")
+        .when(F.col("c0") > 1, "repeated")
     )
-    return expected.join(seen, ["contig", "pos"], "full_outer").select("contig", "pos", rule.alias("rule")).filter("rule is not null")
+    broken = spans.withColumn("rule", rule).filter("rule is not null")
+    told = broken.select("contig", F.explode(F.sequence(F.col("pos") + 1, F.col("end"))).alias("pos"), "rule")
+    nowhere = rows.filter(f"not ({placed})").select("contig", F.col("pos").cast("bigint").alias("pos")).distinct().withColumn("rule", F.lit("extra"))
+    return told.unionByName(nowhere)
 
 
 def window_depth(spans: DataFrame, window: int, thresholds: tuple[int, ...] = (1, 5, 10, 20, 30)) -> DataFrame:

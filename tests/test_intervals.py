@@ -145,3 +145,19 @@ def test_the_sweep_reads_its_input_twice_and_joins_once(spark):
         pytest.skip("test tables are not there")
     plan = iv.union(Tables(spark, folder).intervals)._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
     assert plan.count("Scan parquet") == 2 and plan.count("Join") == 1
+
+
+def test_chains_lift_both_strands(spark):
+    blocks = spark.createDataFrame(
+        [(1, "c", 0, 100, "t", 1000, "+"), (1, "c", 110, 200, "t", 1150, "+"), (2, "c", 200, 300, "u", 500, "-"), (2, "c", 300, 400, "u", 390, "-"), (3, "c", 350, 450, "v", 0, "+")],
+        "chain int, contig string, start long, end long, to_contig string, to_start long, strand string",
+    )
+    named = spark.createDataFrame(
+        [("in", "c", 10, 20), ("over", "c", 90, 120), ("back", "c", 210, 230), ("turn", "c", 290, 310), ("split", "c", 190, 210), ("few", "c", 440, 500), ("none", "c", 900, 910), ("tie", "c", 360, 390)],
+        "name string, contig string, start long, end long",
+    )
+    lifted, rejected = iv.liftover_chains(named, blocks, 0.6)
+    assert rows(lifted, "name", "to_contig", "to_start", "to_end", "strand", "to_gap") == [
+        ("back", "u", 570, 590, "-", 0), ("in", "t", 1010, 1020, "+", 0), ("over", "t", 1090, 1160, "+", 50), ("tie", "u", 400, 430, "-", 0), ("turn", "u", 480, 510, "-", 10),
+    ]
+    assert rows(rejected, "name", "reason") == [("few", "low_fraction"), ("none", "unmapped"), ("split", "split")]
