@@ -118,7 +118,7 @@ view("refcontig", """SELECT contig, string_agg(bases, '' ORDER BY k) AS s, count
 
 
 @query("w09_probe_windows", """
-SELECT contig, context, min(p) + 1 AS pos FROM (
+SELECT contig, context, min(p) + 1 AS pos, arg_min(w, p) AS sequence FROM (
   SELECT contig, p, w, unnest(list_filter(['ordinary', CASE WHEN length(regexp_replace(w, '[^GC]', '', 'g')) >= 0.55 * 151 THEN 'high_gc' END,
          CASE WHEN regexp_matches(w, 'A{6}|C{6}|G{6}|T{6}') THEN 'homopolymer' END], lambda x: x IS NOT NULL)) AS context
   FROM (SELECT contig, p, substr(s, CAST(p + 1 AS INTEGER), 151) AS w FROM
@@ -128,7 +128,7 @@ GROUP BY ALL
 """)
 def probe_windows(t):
     lengths = t.sequence.groupBy("contig").agg(F.sum(F.length("bases")).alias("length"))
-    return probes.first_windows(t.chunks, lengths, min_gc=0.55).drop("sequence")
+    return probes.first_windows(t.chunks, lengths, min_gc=0.55)
 
 
 view("domain_pos", """SELECT contig, unnest(range("start", "end")) AS p FROM ub""")

@@ -608,6 +608,30 @@ def metric_rows(t):
     return sinks.metric_rows(matching.metrics(counts)).select("grp", "tp_query", "fp", "precision", "missing_reasons")
 
 
+@query("k06_publish", """
+SELECT step, outcome, n FROM (SELECT count(*) AS n FROM orders), (VALUES ('first', 'published'), ('again', 'unchanged'), ('other', 'refused'), ('stored', 'unchanged')) v(step, outcome)
+""")
+def publish(t):
+    """Publish a table, publish it again, try to put another one there, and read back what is stored."""
+    import uuid
+
+    from ..session import shared_folder
+
+    root = f"{shared_folder(t.spark)}/publish-{uuid.uuid4().hex}"
+    rows = t.declared_files
+
+    def attempt(df):
+        try:
+            return sinks.publish(df, root)
+        except ValueError:
+            return "refused"
+
+    other = rows.withColumn("bytes", F.when(_key() == 1, F.col("bytes") + 1).otherwise(F.col("bytes")))
+    outcomes = [("first", attempt(rows)), ("again", attempt(rows)), ("other", attempt(other)), ("stored", attempt(rows))]
+    stored = t.spark.read.parquet(f"{root}/data").agg(F.count(F.lit(1)).alias("n"))
+    return t.spark.createDataFrame(outcomes, "step string, outcome string").join(stored)
+
+
 @query("k07_record_hash", """
 SELECT o_orderkey, sha256('{"o_custkey":' || o_custkey || ',"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '"}') AS digest FROM orders
 """)

@@ -70,7 +70,7 @@ def publish(df: DataFrame, root: str) -> str:
     spark: SparkSession = df.sparkSession
     data, manifest, marker = f"{root}/data", f"{root}/manifest", f"{root}/complete"
     if _exists(spark, marker):
-        found = file_inventory(spark, data)
+        found = _identities(spark, data)
         changed = inventory_diff(spark.read.parquet(manifest), found).filter("status <> 'same'")
         if not changed.isEmpty():
             raise ValueError("published data differs from its manifest")
@@ -80,13 +80,18 @@ def publish(df: DataFrame, root: str) -> str:
             raise ValueError("a different result is already published here")
         return "unchanged"
     df.write.mode("errorifexists").parquet(data)
-    file_inventory(spark, data).write.mode("errorifexists").parquet(manifest)
+    _identities(spark, data).write.mode("errorifexists").parquet(manifest)
     spark.read.parquet(manifest).agg(
         F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes")
     ).write.mode("errorifexists").parquet(marker)
     return "published"
 
 
+def _identities(spark: SparkSession, data: str) -> DataFrame:
+    """Path, size and digest of the published files, of whatever size."""
+    return file_inventory(spark, data).select("path", "bytes", F.col("tree_sha256").alias("sha256"))
+
+
 def _same_rows(left: DataFrame, right: DataFrame) -> bool:
     from ..operators.rules import multiset_difference
 
