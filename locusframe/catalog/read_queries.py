@@ -255,13 +255,16 @@ def allele_support(t):
     return rd.allele_support(rd.bases_at(t.alignments, _sites(t)))
 
 
-@query("w07_mark_duplicates", """
+view("marked", """
 SELECT rid, flag & 2308 = 0 AND rk > 1 AS duplicate FROM (
   SELECT rid, flag, row_number() OVER (PARTITION BY library, contig, five, flag & 16, flag & 2308 = 0 ORDER BY score DESC, rid) AS rk FROM (
     SELECT *, CASE WHEN flag & 16 <> 0 THEN "start" + CASE shape WHEN 1 THEN q - 3 WHEN 2 THEN q + 2 WHEN 3 THEN q - 1 ELSE q END
                    ELSE "start" - CASE shape WHEN 1 THEN 3 ELSE 0 END END AS five,
            list_sum(list_transform(string_split(qual, ''), lambda c: CASE WHEN ascii(c) - 33 >= 15 THEN ascii(c) - 33 ELSE 0 END)) AS score FROM aln))
 """)
+
+
+@query("w07_mark_duplicates", "SELECT rid, duplicate FROM marked")
 def mark_duplicates(t):
     single = t.alignments.withColumn("qname", F.col("rid"))
     return rd.mark_duplicates(single).select("rid", "duplicate")
@@ -375,14 +378,16 @@ def coordinate_sort(t):
 
 
 view("known", """SELECT 'chr' || (o_custkey % 22 + 1) AS contig, o_orderkey * 8 + 5 AS pos FROM orders""")
-view("observed_bases", """
+OBSERVED = """
 SELECT read_group, bq AS quality, CASE WHEN flag & 16 <> 0 THEN q - 1 - o ELSE o END AS cycle,
        CASE WHEN flag & 16 <> 0 THEN CASE WHEN o < q - 1 THEN reverse(translate(substr(seq, CAST(o + 1 AS INTEGER), 2), 'ACGT', 'TGCA')) END
             ELSE CASE WHEN o > 0 THEN substr(seq, CAST(o AS INTEGER), 2) END END AS context,
        base <> substr(r.bases, CAST(p % 8 + 1 AS INTEGER), 1) AS error
 FROM basecell b JOIN reflines r ON r.contig = b.contig AND r.k = b.p // 8
 WHERE flag & 3332 = 0 AND NOT EXISTS (SELECT 1 FROM known WHERE known.contig = b.contig AND known.pos = b.p)
-""")
+"""
+view("observed_bases", OBSERVED)
+view("observed_ready", OBSERVED + " AND rid NOT IN (SELECT rid FROM marked WHERE duplicate)")
 
 
 def _observations(t):
@@ -403,14 +408,44 @@ def recalibration_table(t):
     return recalibration.covariate_table(_observations(t)).withColumn("cycle", F.col("cycle").cast("int"))
 
 
-@query("sc31_apply_recalibration")
+EMPIRICAL = "-10 * log10((count(*) FILTER (error) + 1) / CAST(count(*) + 2 AS DOUBLE)) AS e"
+for source, name in (("observed_bases", "recal"), ("observed_ready", "ready")):
+    view(f"{name}_all", f"SELECT read_group, {EMPIRICAL} FROM {source} GROUP BY 1")
+    view(f"{name}_quality", f"SELECT read_group, quality, {EMPIRICAL} FROM {source} GROUP BY 1, 2")
+    view(f"{name}_cycle", f"SELECT read_group, cycle, {EMPIRICAL} FROM {source} GROUP BY 1, 2")
+    view(f"{name}_context", f"SELECT read_group, context, {EMPIRICAL} FROM {source} WHERE context IS NOT NULL GROUP BY 1, 2")
+view("recal_bases", """
+SELECT rid, read_group, i, ascii(substr(qual, CAST(i + 1 AS INTEGER), 1)) - 33 AS quality, CASE WHEN flag & 16 <> 0 THEN q - 1 - i ELSE i END AS cycle,
+       CASE WHEN flag & 16 <> 0 THEN CASE WHEN i < q - 1 THEN reverse(translate(substr(seq, CAST(i + 1 AS INTEGER), 2), 'ACGT', 'TGCA')) END
+            ELSE CASE WHEN i > 0 THEN substr(seq, CAST(i AS INTEGER), 2) END END AS context
+FROM (SELECT *, unnest(range(0, q)) AS i FROM aln)
+""")
+
+
+RECALIBRATED = """
+SELECT rid, read_group, oq, coalesce(n.qual, oq) AS qual FROM (SELECT rid, read_group, qual AS oq FROM aln) LEFT JOIN (
+  SELECT rid, string_agg(chr(CAST(33 + greatest(1, least(93, round(coalesce(bq.e, b.quality) + coalesce(bc.e - g.e, 0) + coalesce(bx.e - g.e, 0)))) AS INTEGER)), '' ORDER BY i) AS qual
+  FROM recal_bases b JOIN {name}_all g USING (read_group)
+  LEFT JOIN {name}_quality bq ON bq.read_group = b.read_group AND bq.quality = b.quality
+  LEFT JOIN {name}_cycle bc ON bc.read_group = b.read_group AND bc.cycle = b.cycle
+  LEFT JOIN {name}_context bx ON bx.read_group = b.read_group AND bx.context = b.context
+  GROUP BY rid) n USING (rid)
+"""
+view("recalibrated", RECALIBRATED.format(name="recal"))
+view("ready_reads", RECALIBRATED.format(name="ready"))
+
+
+@query("sc31_apply_recalibration", "SELECT rid, oq, qual FROM recalibrated")
 def apply_recalibration(t):
     """New qualities per read with the old string kept."""
     shifts = recalibration.offsets(recalibration.covariate_table(_observations(t)))
     return recalibration.apply(t.alignments, shifts).select("rid", "qual", "oq")
 
 
-@query("c05_read_preparation")
+@query("c05_read_preparation", """
+SELECT read_group, count(*) AS reads, count(*) FILTER (duplicate OR flag & 1024 <> 0) AS duplicates, count(*) FILTER (r.qual <> r.oq) AS changed_qualities
+FROM ready_reads r JOIN marked USING (rid) JOIN (SELECT rid, flag FROM aln) USING (rid) GROUP BY 1
+""")
 def read_preparation(t):
     """Lanes to analysis-ready reads: counts after union, duplicate marking and recalibration."""
     single = t.alignments.withColumn("qname", F.col("rid"))
