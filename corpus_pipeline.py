@@ -37,7 +37,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     A document whose ``lang`` is null is judged like any other; the profiles and bounds come from the others.
     """
-    judged = written(language.identify(_packed(docs, F.col("text").alias("text")), language.learn(docs), ["own"]), "judged")
+    # judged twice, for the bounds and for the rows: cheaper than a second copy of all texts on disk
+    judged = language.identify(_packed(docs, F.col("text").alias("text")), language.learn(docs), ["own"])
     size = F.floor(F.log2(F.greatest(F.char_length("own.text"), F.lit(1))))
     labelled = judged.filter("own.lang is not null and own.text is not null").withColumn("size", size)
     usual = [F.percentile_approx("score", LIKE_QUANTILE, 10_000).alias("like"), F.count(F.lit(1)).alias("n")]
@@ -49,30 +50,45 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return judged.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= least)).select("own.*")
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """Rows with a number each, written once, so that rows that share an id or have none can be told apart."""
-    return written(_packed(docs, F.monotonically_increasing_id().alias("row_no")), "numbered")
+#: Rows without an id, or with one that others have too, are numbered from here on.
+FIRST_NUMBER = 1 << 62
 
 
-def _first_of_each(numbered: DataFrame, groups: DataFrame) -> DataFrame:
-    """Of each group (row_no, group) the row with the smallest doc_id; null ids last, ties by number."""
-    ids = numbered.select("row_no", F.struct(F.col("own.doc_id").isNull().alias("none"), F.col("own.doc_id").alias("doc_id"), "row_no").alias("rank"))
-    stays = groups.join(ids, "row_no").groupBy("group").agg(F.min("rank")["row_no"].alias("row_no")).select("row_no")
-    return numbered.join(stays, "row_no", "left_semi").select("own.*")
+def _with_ids(docs: DataFrame) -> DataFrame:
+    """Rows with an id of their own each: doc_id, or a number where that is missing or not unique.
+
+    Only the rows that need a number are written, so that the number stays the same in later jobs.
+    """
+    ids = docs.select(F.col("doc_id").cast("long").alias("id"))
+    repeated = ids.filter("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id")
+    rows = _packed(docs, F.col("doc_id").cast("long").alias("id"))
+    missing = not ids.filter("id is null").isEmpty()
+    if not missing and repeated.isEmpty():
+        return rows
+    odd = rows.filter("id is null").unionByName(rows.join(repeated, "id", "left_semi").select(*rows.columns))
+    numbered = written(odd.withColumn("id", F.lit(FIRST_NUMBER) + F.monotonically_increasing_id()), "numbered")
+    return rows.filter("id is not null").join(repeated, "id", "left_anti").select(*rows.columns).unionByName(numbered)
+
+
+def _first_of_each(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Of each group (id, group) the row with the smallest doc_id; null ids last, ties by number."""
+    ranks = rows.select("id", F.struct(F.col("own.doc_id").isNull().alias("none"), F.col("own.doc_id").alias("doc_id"), "id").alias("rank"))
+    stays = groups.join(ranks, "id").groupBy("group").agg(F.min("rank")["id"].alias("id")).select("id")
+    return rows.join(stays, "id", "left_semi").select("own.*")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (white space aside) the row with the smallest doc_id stays, or one of those without id."""
-    numbered = _numbered(docs)
-    found = exact.exact_duplicates(numbered.select(F.col("row_no").alias("doc_id"), F.col("own.text").alias("text")))
-    return _first_of_each(numbered, found.select(F.col("doc_id").alias("row_no"), F.col("keep_id").alias("group")))
+    rows = _with_ids(docs)
+    found = exact.exact_duplicates(rows.select(F.col("id").alias("doc_id"), F.col("own.text").alias("text")))
+    return _first_of_each(rows, found.select(F.col("doc_id").alias("id"), F.col("keep_id").alias("group")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (shingles of five words, 0.8) the smallest doc_id stays."""
-    numbered = _numbered(docs)
-    found = minhash.near_duplicates(numbered.select(F.col("row_no").alias("doc_id"), F.col("own.text").alias("text")))
-    return _first_of_each(numbered, found.select(F.col("doc_id").alias("row_no"), F.col("component_id").alias("group")))
+    rows = _with_ids(docs)
+    found = minhash.near_duplicates(rows.select(F.col("id").alias("doc_id"), F.col("own.text").alias("text")))
+    return _first_of_each(rows, found.select(F.col("doc_id").alias("id"), F.col("component_id").alias("group")))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
