@@ -126,6 +126,21 @@ def sequence_dictionary(t):
     return bed.parse_sequence_dictionary(as_lines(rows, text, F.col("o_custkey"), "ref.dict")).select("contig", "length", "md5")
 
 
+@query("s06_dictionary_rules", """
+SELECT o_custkey AS line_no, CASE WHEN o_custkey % 17 = 0 THEN 'repeated_tag' WHEN o_custkey % 19 = 0 THEN 'name' WHEN o_custkey % 7 = 0 OR o_custkey % 11 = 0 THEN 'length' ELSE 'md5' END AS violation
+FROM (SELECT DISTINCT o_custkey FROM orders) WHERE o_custkey % 17 = 0 OR o_custkey % 19 = 0 OR o_custkey % 7 = 0 OR o_custkey % 11 = 0 OR o_custkey % 13 = 0
+""")
+def dictionary_rules(t):
+    """Lines that repeat a tag, lack a name or a length, or state a length or a digest that is none."""
+    key = F.col("o_custkey")
+    name = F.when(key % 19 == 0, "SN:").otherwise(F.concat(F.lit("SN:ctg"), key))
+    length = F.when(key % 7 == 0, "XX:none").when(key % 11 == 0, "LN:-5").otherwise("LN:100")
+    md5 = F.when(key % 13 == 0, "M5:short").when(key % 2 == 0, F.concat(F.lit("M5:"), F.upper(F.md5(key.cast("string"))))).otherwise("AS:x")
+    text = F.concat_ws("\t", F.lit("@SQ"), name, length, md5, F.when(key % 17 == 0, "SN:again"))
+    rows = t.read("orders").select("o_custkey").distinct()
+    return bed.parse_sequence_dictionary(as_lines(rows, text, key, "ref.dict")).filter("violation is not null").select("line_no", "violation")
+
+
 view("falines", """
 SELECT o_orderkey AS k, o_orderkey // 100 AS c, CASE WHEN o_orderkey % 100 = 99 THEN 20 ELSE 60 END AS n,
        substr(translate(sha256('fa' || o_orderkey), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, CASE WHEN o_orderkey % 100 = 99 THEN 20 ELSE 60 END) AS bases

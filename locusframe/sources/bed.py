@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.rules import Rule, duplicates, first_broken
@@ -103,16 +103,27 @@ def repeated_contigs(index: DataFrame) -> DataFrame:
 
 
 def parse_sequence_dictionary(lines: DataFrame) -> DataFrame:
-    """``@SQ`` lines to ``(contig, length, md5)`` in dictionary order."""
-    tags = F.str_to_map(F.regexp_replace("value", r"^@SQ\t", ""), F.lit("\t"), F.lit(":"))
-    return (
-        lines.filter(F.col("value").startswith("@SQ\t"))
-        .select("source", "line_no", tags.alias("t"))
-        .select(
-            "source",
-            "line_no",
-            F.col("t")["SN"].alias("contig"),
-            F.col("t")["LN"].try_cast("bigint").alias("length"),
-            F.lower(F.col("t")["M5"]).alias("md5"),
-        )
+    """``@SQ`` lines to ``(contig, length, md5)`` in dictionary order, with the first rule that a line breaks:
+    ``repeated_tag``, ``name`` (SN missing or empty), ``length`` (LN missing, no number or not positive) or
+    ``md5`` (M5 stated, but no digest)."""
+    tags = F.filter(F.split("value", "\t", -1), lambda x: x.rlike("^[A-Za-z][A-Za-z0-9]:"))
+    names = F.transform("_tags", lambda x: F.substring(x, 1, 2))
+
+    def tag(name: str) -> Column:
+        return F.substring(F.get(F.filter("_tags", lambda x: x.startswith(f"{name}:")), F.lit(0)), 4, 2**31 - 1)
+
+    parts = lines.filter(F.col("value").startswith("@SQ\t")).withColumn("_tags", tags).select(
+        "source",
+        "line_no",
+        tag("SN").alias("contig"),
+        tag("LN").try_cast("bigint").alias("length"),
+        F.lower(tag("M5")).alias("md5"),
+        (F.size(F.array_distinct(names)) < F.size("_tags")).alias("_again"),
     )
+    rules = [
+        Rule("repeated_tag", F.col("_again")),
+        Rule("name", F.coalesce("contig", F.lit("")) == ""),
+        Rule("length", F.col("length").isNull() | (F.col("length") <= 0)),
+        Rule("md5", F.col("md5").isNotNull() & ~F.col("md5").rlike("^[0-9a-f]{32}$")),
+    ]
+    return parts.withColumn("violation", first_broken(rules)).drop("_again")
