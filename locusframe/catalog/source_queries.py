@@ -295,6 +295,26 @@ def fastq_records(t):
     return fastq.parse_fastq(_fastq(t, 1), 1).select("record", "read_id", F.length("bases").cast("bigint").alias("bases"), "violation")
 
 
+@query("s11_repeated_reads", """
+SELECT 'r' || (record + 1) AS read_id, CAST(2 AS BIGINT) AS n FROM fqsrc WHERE record % 29 = 0 AND record + 1 IN (SELECT record FROM fqsrc)
+""")
+def repeated_reads(t):
+    """Renamed records of mate 2 that now bear the id of the record behind them."""
+    return fastq.repeated_reads(fastq.parse_fastq(_fastq(t, 2), 2))
+
+
+@query("j08_lane_pairs", """
+SELECT lane, record, CASE WHEN record % 23 = 0 OR lane = 'L2' AND record % 31 = 0 THEN 'missing_mate' WHEN record % 29 = 0 THEN 'identity_mismatch' END AS violation
+FROM fqsrc, (VALUES ('L1'), ('L2')) v(lane)
+""".replace("fqsrc, (", "(SELECT record FROM fqsrc), ("))
+def lane_pairs(t):
+    """Two lanes with the same record numbers: a record only meets the mate of its own lane."""
+    lanes = F.explode(F.array(F.lit("L1"), F.lit("L2"))).alias("lane")
+    first = good(fastq.parse_fastq(_fastq(t, 1), 1)).select("*", lanes)
+    second = good(fastq.parse_fastq(_fastq(t, 2), 2)).select("*", lanes).filter("not (lane = 'L2' and record % 31 = 0)")
+    return fastq.pair_mates(first, second, ["lane"]).select("lane", "record", "violation")
+
+
 @query("j08_mate_pairs", """
 SELECT record, CASE WHEN record % 23 = 0 THEN 'missing_mate' WHEN record % 29 = 0 THEN 'identity_mismatch' END AS violation FROM fqsrc
 """)

@@ -53,6 +53,11 @@ def pair_mates(first: DataFrame, second: DataFrame, lane: list[str] | None = Non
     return a.join(b, keys, "full_outer").withColumn("violation", first_broken(rules))
 
 
+def repeated_reads(reads: DataFrame, lane: list[str] | None = None) -> DataFrame:
+    """Read ids that stand for more than one record of a file (or of a lane): the keys, ``read_id`` and ``n``."""
+    return reads.groupBy(*(lane or []), "read_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+
+
 def lane_summary(reads: DataFrame, keys: list[str]) -> DataFrame:
     """Reads, bases, quality range and an order-free digest of the read names per lane."""
     scores = phred(F.col("quality"))
