@@ -38,3 +38,11 @@ def test_domains_are_held_against_their_pins(spark):
     pins = spark.createDataFrame([("calling", 2, 10), ("evaluation", 1, 6), ("holdout", 1, 4), ("target", 3, 9)], kinds)
     got = {r["domain"]: (r["intervals"], r["bases"], r["rule"]) for r in domains.pinned_summary(counted, pins).collect()}
     assert got == {"calling": (2, 10, None), "evaluation": (1, 5, "pin"), "holdout": (1, 4, None), "extra": (1, 1, "unpinned"), "target": (0, 0, "pin")}
+
+
+def test_rescue_returns_what_its_sql_returns(spark):
+    """Two columns; every substitution told two ways is rescued, the lone truth rows are not."""
+    load()
+    got = registry.QUERIES["j14_haplotype_rescue"](Tables(spark, SF))
+    assert got.columns == ["row_id", "rescued"]
+    assert all(r.rescued == (int(r.row_id[1:]) % 5 != 0) or r.row_id[0] == "t" for r in got.collect())
