@@ -85,12 +85,13 @@ SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN CAST(o_custkey AS VARCHAR)
 def command_flags(t):
     key = F.col("o_orderkey")
     command = F.concat(F.lit("tool run --all-records --ref-overlap --customer="), "o_custkey", F.lit(" --out x.vcf --k2  v"), "o_custkey", F.when(key % 4 == 0, " --zeta --odd1=a=b").otherwise(""), F.when(key % 9 == 0, " --out y.vcf").otherwise(""))
-    flags, allowed = text.command_flags(command), ["all-records", "ref-overlap", "customer", "out", "k2"]
-    bare = F.filter(F.map_keys(flags), lambda name: flags[name].isNull() & name.isin(allowed))
-    joined = lambda names: F.when(flags.isNotNull(), F.array_join(F.array_sort(names), ","))
-    return t.read("orders").select(
+    allowed = ["all-records", "ref-overlap", "customer", "out", "k2"]
+    rows = t.read("orders").select("o_orderkey", text.command_flags(command).alias("flags"), text.unlisted_flags(command, allowed).alias("unlisted"))
+    flags = F.col("flags")
+    bare = F.array_sort(F.map_keys(F.map_filter(flags, lambda name, value: value.isNull() & name.isin(allowed))))
+    return rows.select(
         "o_orderkey", flags["customer"].alias("customer"), flags["k2"].alias("k2"),
-        joined(bare).alias("switches"), joined(text.unlisted_flags(command, allowed)).alias("unlisted"),
+        F.array_join(bare, ",").alias("switches"), F.array_join("unlisted", ",").alias("unlisted"),
     )
 
 

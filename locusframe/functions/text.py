@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -128,14 +130,21 @@ def command_flags(command: Column) -> Column:
     words = F.filter(F.split(command, rf"[{SPACE}]+"), lambda w: w != "")
     opens = lambda w: w.rlike(FLAG)
 
-    def read(word: Column, at: Column) -> Column:
-        after = F.get(words, at + 1)
+    def read(word: Column, after: Column) -> Column:
         value = F.when(word.contains("="), F.regexp_replace(word, "^[^=]*=", "")).when(~opens(after), after)
         return F.when(opens(word), F.struct(F.regexp_extract(word, FLAG, 1).alias("name"), value.alias("value")))
 
-    found = F.array_compact(F.transform(words, read))
-    names = F.transform(found, lambda f: f["name"])
-    return F.when(F.size(F.array_distinct(names)) == F.size(names), F.map_from_arrays(names, F.transform(found, lambda f: f["value"])))
+    def mapped(found: Column) -> Column:
+        names = F.transform(found, lambda f: f["name"])
+        return F.when(F.size(F.array_distinct(names)) == F.size(names), F.map_from_entries(found))
+
+    found = _once(words, lambda w: F.array_compact(F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), read)))
+    return _once(found, mapped)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def unlisted_flags(command: Column, allowed: list[str]) -> Column:

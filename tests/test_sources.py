@@ -107,6 +107,14 @@ def test_text_grammars(spark):
     assert got.r.endswith('$R/x", "/srv": "/srvs"}')
 
 
+def test_flags_split_their_command_once(spark):
+    """The text is split once, whatever the number of words; a repeated flag has no map."""
+    lines = spark.createDataFrame([("x --a --b=1 --c  2 --a",), ("x --a --b=1 --c  2 y --d",), ("",), (None,)], "c string")
+    got = lines.select(text.command_flags(F.col("c")).alias("f"))
+    assert [r.f for r in got.collect()] == [None, {"a": None, "b": "1", "c": "2", "d": None}, {}, None]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
 @pytest.mark.parametrize(
     ("value", "reason"),
     [("{}", None), ("7", None), ("", "malformed"), (None, "missing"), ('{"a":1,"a":2}', "duplicate_key"), ('[{"a":{"b":1,"b":1}}]', "duplicate_key"), ("[NaN]", "non_finite"), ("-Infinity", "non_finite"), ('{"a":1} x', "malformed"), ('{"a":1},{"b":1}', "malformed"), ('["NaN"]', None), ("{'a':1}", "malformed")],
