@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import basename
-from ..session import reliable_checkpoint
+from ..session import reliable_checkpoint, shared_folder
 
 
 def inventory_diff(declared: DataFrame, observed: DataFrame, key: str = "path") -> DataFrame:
@@ -122,6 +124,17 @@ def unknown_endpoints(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 MOST_JUMPS = 4
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """Write the rows to the shared folder and read them back.
+
+    A checkpoint keeps the size that the optimizer guessed for its plan. A join's guess is the product of its
+    inputs' sizes, so a table joined to itself every round would double the digits of that number every round.
+    """
+    path = f"{shared_folder(df.sparkSession)}/jumps-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class _Jumps:
     """Pairs of nodes that a walk of exactly ``length`` edges joins; ``double`` composes them with themselves.
 
@@ -130,22 +143,29 @@ class _Jumps:
     """
 
     def __init__(self, edges: DataFrame) -> None:
-        self.pairs = reliable_checkpoint(edges.select("src", "dst").distinct())
-        self.edges, self.length = self.pairs.count(), 1
-        self.grows = self.edges > 0
+        self.pairs, self.length, self._ends = _written(edges.select("src", "dst").distinct()), 1, None
+        self.edges = self.pairs.count()
+        self._measure()
+
+    def _measure(self) -> None:
+        """Count compositions, and the nodes that walks of this length start from and lead to.
+
+        Longer walks have no other ends than shorter ones. If twice the length has as many, then so has every
+        length: ``settled`` says that these are the ends of the walks without end.
+        """
+        ways = F.explode(F.array(F.struct(F.col("dst").alias("node"), F.lit(1).alias("i"), F.lit(0).alias("o")), F.struct(F.col("src").alias("node"), F.lit(0).alias("i"), F.lit(1).alias("o"))))
+        nodes = self.pairs.select(ways.alias("w")).select("w.*").filter("node is not null").groupBy("node").agg(F.sum("i").alias("i"), F.sum("o").alias("o"))
+        made = F.coalesce(F.sum(F.col("i").cast("decimal(19,0)") * F.col("o")), F.lit(0))
+        self._made, *ends = nodes.agg(made, F.count_if(F.col("i") > 0), F.count_if(F.col("o") > 0)).first()
+        self.settled, self._ends = ends == self._ends, ends
 
     def double(self) -> bool:
-        if not self.grows:
-            return False
-        into = self.pairs.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("i"))
-        out = self.pairs.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("o"))
-        made = into.join(out, "node").agg(F.coalesce(F.sum(F.col("i").cast("decimal(19,0)") * F.col("o")), F.lit(0))).first()[0]
-        self.grows = 0 < made <= MOST_JUMPS * self.edges
-        if made > MOST_JUMPS * self.edges:
+        if not 0 < self._made <= MOST_JUMPS * self.edges:
             return False
         first, second = self.pairs.select("src", F.col("dst").alias("via")), self.pairs.select(F.col("src").alias("via"), "dst")
-        self.pairs = reliable_checkpoint(first.join(second, "via").select("src", "dst").distinct())
+        self.pairs = _written(first.join(second, "via").select("src", "dst").distinct())
         self.length *= 2
+        self._measure()
         return True
 
 
@@ -165,16 +185,20 @@ def cyclic_core(edges: DataFrame) -> DataFrame:
     """Edges left after peeling nodes that have no way in or no way out.
 
     Empty exactly when the graph is acyclic: an edge stays if walks without end lead to its source and from
-    its target. Jumps double in length until there are none (no cycle) or they are as long as there are
-    nodes, so a path of n edges takes about log2(n) rounds; then few peeling rounds are left.
+    its target. Jumps double in length until there are none (no cycle) or their ends are those of the walks
+    without end, so n edges to peel in a row take about log2(n) rounds; where jumps would multiply, peeling
+    rounds follow.
     """
     jumps = _Jumps(edges)
-    all_edges, limit = jumps.pairs, 2 * jumps.edges
-    while jumps.length <= limit and jumps.double():
+    all_edges = jumps.pairs
+    while not jumps.settled and jumps.double():
         pass
     if not jumps.edges or jumps.pairs.isEmpty():
         return all_edges.limit(0)
-    onward, back = _endless(jumps.pairs, "src", "dst"), _endless(jumps.pairs, "dst", "src")
+    if jumps.settled:
+        onward, back = [jumps.pairs.select(F.col(end).alias("node")).distinct() for end in ("src", "dst")]
+    else:
+        onward, back = _endless(jumps.pairs, "src", "dst"), _endless(jumps.pairs, "dst", "src")
     return all_edges.join(onward.withColumnRenamed("node", "dst"), "dst", "left_semi").join(back.withColumnRenamed("node", "src"), "src", "left_semi").select("src", "dst")
 
 
@@ -194,7 +218,7 @@ def ancestors(edges: DataFrame, start: DataFrame) -> DataFrame:
             .groupBy(F.col("dst").alias("node")).agg((F.min("_from") + jumps.length).cast("int").alias("steps"))
             .join(reached.select("node"), "node", "left_anti")
         )
-        new = reliable_checkpoint(found)
+        new = _written(found)
         if new.isEmpty():
             break
         reached = reached.unionByName(new)

@@ -52,6 +52,27 @@ def test_a_long_chain_takes_a_logarithm_of_rounds(spark, monkeypatch):
     assert lineage.cyclic_core(chain).isEmpty() and len(calls) <= 20
 
 
+def test_plans_and_rounds_of_graph_loops_stay_small(spark, monkeypatch):
+    """The guessed size of a loop's plan does not grow by its rounds, and a cycle costs no rounds of its own."""
+    calls = []
+    real = lineage._written
+    monkeypatch.setattr(lineage, "_written", lambda df: calls.append(1) or real(df))
+    tail = spark.range(3, 3_000).selectExpr("id as src", "id - 1 as dst")
+    cycle = spark.createDataFrame([(2, 1), (1, 0), (0, 2)], EDGES)
+    jumps = lineage._Jumps(tail)
+    while jumps.double():
+        pass
+    assert len(calls) <= 13 and jumps.pairs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 64
+    calls.clear()
+    assert rows(lineage.cyclic_core(tail.unionByName(cycle)), "src", "dst") == [(0, 2), (1, 0), (2, 1)] and len(calls) <= 14
+    calls.clear()
+    short = spark.range(3, 3_000).selectExpr("id as src", "id % 3 as dst").unionByName(cycle)
+    assert rows(lineage.cyclic_core(short), "src", "dst") == [(0, 2), (1, 0), (2, 1)] and len(calls) <= 3
+    calls.clear()
+    got = lineage.ancestors(tail, spark.createDataFrame([(2_999,)], "node long"))
+    assert got.selectExpr("count(*)", "max(steps)").first() == (2_998, 2_997) and len(calls) <= 2 * 13 + 1
+
+
 def test_hand_overs_that_labels_lack(spark):
     edges = spark.createDataFrame([("A", "x", "B", "x"), ("A", "y", "C", "y")], "from_process string, from_file string, to_process string, to_file string")
     art = [("A", "one", "output", "x", "h", 1), ("B", "one", "input", "x", "h", 1), ("A", "one", "output", "y", "h", 1), ("C", "one", "input", "y", "g", 1)]
