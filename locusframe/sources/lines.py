@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.rules import settled
+
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Read plain or ``.gz`` text with exact line numbers and no single-task pass."""
@@ -31,6 +33,16 @@ def field(index: int, column: str = "value") -> Column:
     return F.get(F.split(column, "\t", -1), F.lit(index))
 
 
+def split_once(lines: DataFrame) -> DataFrame:
+    """Add ``_f``, the tab-separated fields; ``settled``, so no later column splits or makes the line again."""
+    return settled(lines, "_f", F.split("value", "\t", -1))
+
+
+def cell(index: int) -> Column:
+    """0-based field of ``split_once``, null when the row is shorter."""
+    return F.get("_f", F.lit(index))
+
+
 def field_count(column: str = "value") -> Column:
     return F.size(F.split(column, "\t", -1))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ordered import previous
 from ..operators.rules import Rule, first_broken
-from .lines import field, field_count
+from .lines import cell, split_once
 
 MANDATORY = 11
 
@@ -33,20 +33,20 @@ def optional_tags(fields: Column) -> Column:
 
 def parse_sam(lines: DataFrame) -> DataFrame:
     """Typed alignment rows; ``pos`` stays 1-based as in the text."""
-    body = lines.filter(~F.col("value").startswith("@")).withColumn("_f", F.split("value", "\t", -1))
+    body = split_once(lines).filter(~cell(0).startswith("@"))
     parts = body.select(
         "source",
         "line_no",
-        field(0).alias("qname"),
-        field(1).try_cast("int").alias("flag"),
-        field(2).alias("contig"),
-        field(3).try_cast("bigint").alias("pos"),
-        field(4).try_cast("int").alias("mapq"),
-        field(5).alias("cigar"),
-        field(9).alias("seq"),
-        field(10).alias("qual"),
+        cell(0).alias("qname"),
+        cell(1).try_cast("int").alias("flag"),
+        cell(2).alias("contig"),
+        cell(3).try_cast("bigint").alias("pos"),
+        cell(4).try_cast("int").alias("mapq"),
+        cell(5).alias("cigar"),
+        cell(9).alias("seq"),
+        cell(10).alias("qual"),
         F.when(F.size("_f") >= MANDATORY, optional_tags(F.col("_f"))).alias("tags"),
-        field_count().alias("_n"),
+        F.size("_f").alias("_n"),
     )
     rules = [
         Rule("column_count", F.col("_n") < MANDATORY),

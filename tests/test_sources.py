@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from locusframe.functions import text
 from locusframe.operators import reads as rd
 from locusframe.operators.skew import salted_join
-from locusframe.sources import bed, documents, fasta, files, gtf, lines, sinks
+from locusframe.sources import bed, documents, fasta, files, gtf, lines, sam, sinks, vcf
 
 
 def test_line_numbers_survive_file_splits(spark, tmp_path):
@@ -152,3 +152,16 @@ def test_digest_tree_of_many_levels(spark):
             level = [g[0] if len(g) == 1 else hashlib.sha256("".join(g).encode()).hexdigest() for g in groups]
         want[k] = (len(leaves[k]), 2 * len(leaves[k]), level[0])
     assert {r.k: (r.pieces, r.n, r.d) for r in digest_tree(table, ["k"], "at", "d", "n", fan_out=3).collect()} == want
+
+
+def test_record_lines_are_split_once(spark):
+    """Fields are planned once, not again in each filter and column behind them."""
+
+    def planned(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    for parse, text in ((vcf.parse_vcf, "chr1\t5\tr1\tA\tC,G\t.\tPASS\t.\tGT:DP\t1/2:9"), (sam.parse_sam, "q\t65\tchr1\t5\t9\t1M\t*\t0\t0\tA\tI\tRG:Z:r")):
+        table = spark.createDataFrame([("f", 1, "#c"), ("f", 2, "@c"), ("f", 3, text), ("f", 4, "x"), ("f", 5, None)], "source string, line_no long, value string")
+        parsed = parse(table)
+        assert planned(parsed).count("split(value") == 1
+        assert {r["line_no"]: r["violation"] is None for r in parsed.collect()}[3] is True and parsed.count() == 3
