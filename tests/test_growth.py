@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 
 from locusframe.catalog.adapters import Tables
+from locusframe.catalog.variant_queries import _partitions
 from locusframe.operators import intervals, matching, variants
 from locusframe.sources.fasta import chunks, windows
 
@@ -73,3 +74,11 @@ def test_alleles_hash_no_reference_before_lines_are_merged(plain, tmp_path):
     assert calls.count() == 3
     told = [x for x in plan(calls).split("\n") if "Filter " in x and ("sha2(" in x or "split(" in x)]
     assert told == []
+
+
+def test_calls_and_truth_of_one_table_are_split_once(plain, tmp_path):
+    lines = [(k, k % 8, k % 7, k % 7 + 1, 5.0, "ANR"[k % 3], "OF"[k % 2]) for k in range(64)]
+    schema = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string"
+    plain.createDataFrame(lines, schema).write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = _partitions(Tables(plain, str(tmp_path)))
+    assert sum("Generate posexplode(alts" in x for x in plan(found).split("\n")) == 1
