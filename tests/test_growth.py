@@ -6,6 +6,8 @@ from conftest import rows
 from locusframe.catalog.adapters import Tables
 from locusframe.catalog.variant_queries import _partitions
 from locusframe.operators import intervals, matching, variants
+from locusframe.operators import reads as reads_op
+from locusframe.plans import coverage
 from locusframe.sources.fasta import chunks, windows
 
 KEY = "contig string, pos long, ref string, alt string, alt_copies int"
@@ -82,3 +84,22 @@ def test_calls_and_truth_of_one_table_are_split_once(plain, tmp_path):
     plain.createDataFrame(lines, schema).write.parquet(str(tmp_path / "lineitem.parquet"))
     found = _partitions(Tables(plain, str(tmp_path)))
     assert sum("Generate posexplode(alts" in x for x in plan(found).split("\n")) == 1
+
+
+def test_domain_coverage_deals_words_not_runs(plain, tmp_path):
+    """A read of many runs of good quality is one row per 32 bases; depth is that of the runs."""
+    good = "".join("I" if i * i % 5 else "#" for i in range(100))
+    reads = [
+        ("f", 0, "m", 20, "100M", good), ("f", 0, "m", 70, "3S40M2D57M", good), ("g", 16, "m", 31, "10M5I60M300N25M", good), ("g", 4, "m", 0, "50M", good),
+        ("h", 0, "m", 0, "70M", "I" * 40), ("h", 0, "m", 2, "0M5M", "5" * 5), ("h", 0, "n", 2, "*", "*"), ("i", 0, "m", 90, "5M", None), *[(f"p{i}", 0, "m", 64, "32M", "I" * 32) for i in range(40)],
+    ]
+    aligned = table(plain, tmp_path / "reads", [("r", *r[:4], 60, *r[4:]) for r in reads], "rid string, qname string, flag int, contig string, start long, mapq int, cigar string, qual string")
+    domain = plain.createDataFrame([("m", 0, 33), ("m", 10, 15), ("m", 64, 300), ("m", 400, 450), ("n", 5, 100), ("n", 7, 7), (None, 1, 9)], "contig string, start long, end long")
+    for keys in (None, ["contig"]):
+        found = coverage.domain_coverage(aligned, domain, keys)
+        assert found.columns == reads_op.depth_summary(coverage.domain_depth(aligned, domain), keys).columns
+        assert rows(found, *found.columns) == rows(reads_op.depth_summary(coverage.domain_depth(aligned, domain), keys), *found.columns)
+    assert reads_op.fragment_words(aligned).filter("qname = 'f'").count() <= 6
+    empty = coverage.domain_coverage(aligned, domain.filter("false")).first()
+    assert empty.bases is None and empty.depth_sum is None
+    assert "Window" not in plan(found)
