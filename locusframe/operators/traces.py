@@ -12,6 +12,8 @@ from .rules import Rule, first_broken
 from .skew import salted_join
 
 STATUSES = ("ABORTED", "CACHED", "COMPLETED", "FAILED")
+#: Cases that one task of ``cache_matrix`` sorts.
+DEALT_ROWS = 500_000
 
 
 def with_cpu_work(tasks: DataFrame) -> DataFrame:
@@ -134,11 +136,15 @@ def cache_matrix(cases: DataFrame, dimensions: list[str], baseline: str = "first
 
     A case named after a dimension must change exactly that dimension and its key; ``unchanged``
     must change none and hit the cache. ``cases``: ``suite, case, <dimensions>, key, hit``.
+
+    Cases are counted first and dealt in parts of about ``DEALT_ROWS``: their texts repeat, so parts chosen by
+    their compressed size would fill a task's memory, and so would baselines that pass for small.
     """
+    parts = -(-cases.count() // DEALT_ROWS) or 1
     base = cases.filter(F.col("case") == baseline).select(
         "suite", *[F.col(d).alias(f"b_{d}") for d in dimensions], F.col("key").alias("b_key")
     )
-    joined = cases.join(base, "suite", "left")
+    joined = cases.repartition(parts, "suite").join(base.repartition(parts, "suite").hint("merge"), "suite", "left")
     changed = F.array_compact(
         F.array(*[F.when(~F.col(d).eqNullSafe(F.col(f"b_{d}")), F.lit(d)) for d in dimensions])
     )

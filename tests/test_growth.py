@@ -7,6 +7,7 @@ from locusframe.catalog.adapters import Tables
 from locusframe.catalog.variant_queries import SPAN, _partitions, left_alignment
 from locusframe.operators import intervals, matching, variants
 from locusframe.operators import reads as reads_op
+from locusframe.operators import traces
 from locusframe.plans import coverage
 from locusframe.sources.fasta import chunks, windows
 
@@ -134,3 +135,17 @@ def test_words_restrict_like_a_sweep(spark):
     assert rows(found, "contig", "pos") == rows(swept, "contig", "pos")
     bases = intervals.covered_words([left, right]).selectExpr("sum(bit_count(inside)) as n").first().n
     assert bases == intervals.intersect(left, right).selectExpr("sum(`end` - start) as n").first().n
+
+
+def test_cases_are_dealt_by_their_number(spark, monkeypatch):
+    """The rows a task sorts do not grow with the cases, and no baseline is broadcast."""
+    monkeypatch.setattr(traces, "DEALT_ROWS", 10)
+    cases = spark.createDataFrame(
+        [(s, c, "B" if c == "x" else "A", "A", "k" + c if c == "x" else "k", c == "unchanged") for s in range(40) for c in ("first", "unchanged", "x")] + [(99, "x", "B", "A", "k", False)],
+        "suite long, case string, x string, y string, key string, hit boolean",
+    )
+    found = traces.cache_matrix(cases, ["x", "y"])
+    assert rows(found.filter("violation is not null"), "suite", "case", "violation") == [(99, "x", "no_baseline")]
+    assert traces.single_dimension_cases(cases, ["x", "y"]).count() == 40
+    assert plan(found).count("hashpartitioning(suite#") == 2 and ", 13)" in plan(found) and "SortMergeJoin" in plan(found)
+    assert traces.cache_matrix(cases.filter("false"), ["x", "y"]).count() == 0
