@@ -222,3 +222,43 @@ def test_record_rules_are_planned_once(spark):
 
     plan = variant_validity(Tables(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("allele_index") == 1
+
+
+def nested_insertions(n):
+    """Insertions of 1, 2, 4 and more letters into a run of A, in truth and again in the calls: every sum of them is a state."""
+    sizes = ["A" * (2**i + 1) for i in range(n)]
+    return [(f"t{i}", True, "m", 2 + i, "A", a, 1) for i, a in enumerate(sizes)] + [(f"q{i}", False, "m", 2 + n + i, "A", a, 1) for i, a in enumerate(sizes)]
+
+
+def test_a_stretch_of_very_many_states_is_decided(spark):
+    """More than 20,000 states do not leave a stretch undecided."""
+    rows = nested_insertions(7)
+    df = spark.createDataFrame(rows, "row_id string, truth boolean, contig string, pos long, ref string, alt string, alt_copies int")
+    got = haplotypes.rescue(df, chunk_table(spark, "C" + "A" * 60 + "G" * 40), size=64).collect()
+    assert len(got) == 14 and all(r.rescued and r.rule is None for r in got)
+
+
+def test_states_on_disk_are_those_in_memory(monkeypatch):
+    """States in runs that were merged several times, and split by the length of their texts, keep as many records."""
+    monkeypatch.setattr(haplotypes, "FAN_IN", 3)
+    rng = random.Random(5)
+    for case in range(60):
+        text = "".join(rng.choice("AC") for _ in range(60))
+        items = []
+        for truth in (False, True):
+            for p in rng.sample(range(3, 40), rng.randint(3, 12)):
+                ref = text[p - 1 : p + rng.randint(0, 1)]
+                alt = rng.choice([ref[0], {"A": "C", "C": "A"}[ref[0]], ref + rng.choice("AC")])
+                items.append((f"{truth}{p}", truth, p - 1, ref, alt, rng.choice([1, 1, 2])))
+        items.sort(key=lambda r: (r[2], r[1], r[0]))
+        found = []
+        for held, letters in ((10**6, 10**6), (3, 10**6), (10**6, 20)):
+            monkeypatch.setattr(haplotypes, "HELD_LETTERS", letters)
+            replay, at = haplotypes.Replay(held=held), 0
+            for row_id, truth, start, ref, alt, copies in items:
+                replay.feed(row_id, truth, start, ref, alt, copies, text[at:start])
+                at = start
+            done = replay.finish(text[at : replay.reach])
+            assert [d[0] for d in done] == [i[0] for i in items]
+            found.append(sum(d[1] for d in done))
+        assert found[0] == found[1] == found[2], case
