@@ -149,3 +149,47 @@ def test_cases_are_dealt_by_their_number(spark, monkeypatch):
     assert traces.single_dimension_cases(cases, ["x", "y"]).count() == 40
     assert plan(found).count("hashpartitioning(suite#") == 2 and ", 13)" in plan(found) and "SortMergeJoin" in plan(found)
     assert traces.cache_matrix(cases.filter("false"), ["x", "y"]).count() == 0
+
+
+def _reference(spark, path):
+    keys = [*range(0, 128), *range(130, 192), 200, 64 * 9 + 63]
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey long").write.parquet(str(path / "orders.parquet"))
+    return Tables(spark, str(path))
+
+
+def test_near_chunks_are_chunks_with_less_ahead(plain, tmp_path):
+    """The text of the near chunks is spelt out after the one shuffle of their keys, and joins take it from there."""
+    t = _reference(plain, tmp_path)
+    columns = ("contig", "chunk_id", "chunk_start", "bases")
+    for bases in (SPAN, 64, 512):
+        found = t.near_chunks(bases)
+        assert rows(found, *columns) == rows(t.chunks, *columns)
+        both = found.select("contig", "chunk_id", "ahead").join(t.chunks.selectExpr("contig", "chunk_id", "ahead as whole"), ["contig", "chunk_id"])
+        assert both.filter("not startswith(whole, ahead)").count() == 0
+        # no line is absent behind the first chunk
+        assert both.filter("chunk_id = 0").selectExpr("min(length(ahead))", "max(length(ahead))").first() == (-(-bases // 8) * 8,) * 2
+    sites = plain.createDataFrame([("s", "chr1", 500, 560)], "id string, contig string, start long, end long")
+    seen = windows(sites, t.near_chunks(SPAN), "id", max_span=SPAN)
+    assert rows(seen, "window") == rows(windows(sites, t.chunks, "id"), "window")
+    assert plan(seen).count("Exchange hashpartitioning(contig") == 2
+    long = plain.createDataFrame([("s", "chr1", 500, 600)], "id string, contig string, start long, end long")
+    with pytest.raises(Exception, match="longer than max_span"):
+        windows(long, t.near_chunks(SPAN), "id", max_span=SPAN).collect()
+
+
+def test_normalised_rows_are_written_narrow(spark, tmp_path, monkeypatch):
+    """Only the columns of the result are written, of included alleles only, and rows read again keep their alleles."""
+    from locusframe.plans import benchmark
+
+    text = "CG" + "A" * 300 + "TTGCA" * 60
+    lines = spark.createDataFrame([("m", i, text[i : i + 50]) for i in range(0, len(text), 50)], "contig string, start long, bases string")
+    table = chunks(lines)
+    calls = [("far", 302, "A", ["AA"], "0/1"), ("near", 10, "A", ["AA", "T"], "1/2"), ("snv", 304, "T", ["G"], "1|1"), ("none", 20, "A", ["C"], "0/0"), ("dot", 20, "A", ["C"], "./1")]
+    records = spark.createDataFrame([(i, "m", *c, "unread") for i, *c in calls], "row_id string, contig string, pos long, ref string, alts array<string>, gt string, more string")
+    kept = []
+    write = variants.written
+    monkeypatch.setattr(variants, "written", lambda df, name: kept.append(write(df, name)) or kept[-1])
+    found = benchmark.normalize(records, table, max_span=SPAN, columns=["row_id", *matching.KEY])
+    want = [("far", 2, "G", "GA", 1), ("near", 2, "G", "GA", 1), ("near", 10, "A", "T", 1), ("snv", 304, "T", "G", 2)]
+    assert rows(found, "row_id", "pos", "ref", "alt", "alt_copies") == want
+    assert [k.count() for k in kept] == [4, 1] and all(k.columns == ["row_id", *matching.KEY, "_full", "_row"] for k in kept)
