@@ -2,6 +2,7 @@
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from locusframe.catalog.adapters import Tables
 from locusframe.catalog.variant_queries import SPAN, _partitions, left_alignment
@@ -193,3 +194,21 @@ def test_normalised_rows_are_written_narrow(spark, tmp_path, monkeypatch):
     want = [("far", 2, "G", "GA", 1), ("near", 2, "G", "GA", 1), ("near", 10, "A", "T", 1), ("snv", 304, "T", "G", 2)]
     assert rows(found, "row_id", "pos", "ref", "alt", "alt_copies") == want
     assert [k.count() for k in kept] == [4, 1] and all(k.columns == ["row_id", *matching.KEY, "_full", "_row"] for k in kept)
+
+
+def test_duplicates_are_named_once(plain, tmp_path):
+    """The names of duplicates are written; neither pass over the reads looks for them again, and marks stay the same."""
+    lines = [(k, p, s, n, 30.0, "ANR"[k % 3], "O") for k in range(40) for p, s, n in ((3, 1, 1), (3, 1, 3), (11, 1, 5), (4, 2, 2))]
+    schema = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string"
+    plain.createDataFrame(lines, schema).write.parquet(str(tmp_path / "lineitem.parquet"))
+    plain.createDataFrame([(k,) for k in range(64)], "o_orderkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    t = Tables(plain, str(tmp_path))
+    single = t.alignments.withColumn("qname", F.col("rid"))
+    sites = plain.createDataFrame([("chr1", 20), ("chr1", 515)], "contig string, pos long")
+    ready = coverage.prepare_reads([single], t.near_chunks(64), sites, max_span=64)
+    assert "keys=[library" not in plan(ready)
+    far = coverage.prepare_reads([single], t.chunks, sites, max_span=512)
+    assert rows(ready, "rid", "flag", "qual", "oq") == rows(far, "rid", "flag", "qual", "oq")
+    named = reads_op.duplicate_fragments(single)
+    marked = reads_op.mark_duplicates(single).filter("duplicate")
+    assert rows(marked, "rid") == rows(named, "qname") and 40 <= named.count() < 120
